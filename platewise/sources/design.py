@@ -1,0 +1,121 @@
+"""Design-of-experiments rows: each input id gets reproducible parameters, whatever the partitioning."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from platewise.constants import (
+    DIMENSION_RANGES,
+    DIMENSION_WEIGHTS,
+    MATERIAL_RANGES,
+    MATERIAL_WEIGHTS,
+    SEED,
+)
+from platewise.functions.hashing import digest_uniform, seeded_digest
+from platewise.functions.numeric import lookup
+
+
+def scaled(u: Column, low: Column | float, high: Column | float) -> Column:
+    low = low if isinstance(low, Column) else F.lit(float(low))
+    high = high if isinstance(high, Column) else F.lit(float(high))
+    return low + u * (high - low)
+
+
+def weighted_choice(u: Column, weights: dict[str, float]) -> Column:
+    """Category by cumulative weight."""
+    out, total = F, 0.0
+    names = list(weights)
+    for name in names[:-1]:
+        total += weights[name]
+        out = out.when(u < total, name)
+    return out.otherwise(names[-1])
+
+
+def _with_draws(ids: DataFrame, id_col: str, seed: int) -> DataFrame:
+    """Eight uniforms per id out of two digests."""
+    digests = ids.select(
+        F.sha2(F.col(id_col).cast("string"), 256).alias("simulation_id"),
+        seeded_digest(F.col(id_col), f"{seed}|a").alias("_a"),
+        seeded_digest(F.col(id_col), f"{seed}|b").alias("_b"),
+    )
+    draws = {f"_u{i}": digest_uniform(F.col("_a"), i) for i in range(4)}
+    draws |= {f"_u{i + 4}": digest_uniform(F.col("_b"), i) for i in range(4)}
+    return digests.withColumns(draws).drop("_a", "_b")
+
+
+def design_continuous(
+    ids: DataFrame, id_col: str, ranges: dict[str, tuple[float, float]], mesh: tuple[int, int] = (120, 24), seed: int = SEED
+) -> DataFrame:
+    """Every parameter uniform in its own range (up to eight ranges); categories are ``custom``."""
+    if len(ranges) > 8:
+        raise ValueError("at most eight ranges")
+    for name, (low, high) in ranges.items():
+        if low >= high:
+            raise ValueError(f"range of {name}: low must be below high")
+    drawn = _with_draws(ids, id_col, seed)
+    return drawn.select(
+        "simulation_id",
+        F.lit("custom").alias("material_category"),
+        F.lit("custom").alias("dimension_category"),
+        *[scaled(F.col(f"_u{i}"), *bounds).alias(name) for i, (name, bounds) in enumerate(ranges.items())],
+        F.lit(mesh[0]).alias("mesh_nx"),
+        F.lit(mesh[1]).alias("mesh_ny"),
+    )
+
+
+def _class_range(category: Column, ranges: dict[str, dict[str, tuple[float, float]]], name: str) -> tuple[Column, Column]:
+    return (
+        lookup(category, {k: v[name][0] for k, v in ranges.items()}),
+        lookup(category, {k: v[name][1] for k, v in ranges.items()}),
+    )
+
+
+def design_categorical(
+    ids: DataFrame,
+    id_col: str,
+    radius: tuple[float, float] = (0.05, 0.30),
+    mesh: tuple[int, int] = (120, 24),
+    seed: int = SEED,
+) -> DataFrame:
+    """Material and size class by weight, then each parameter uniform in the range of its class."""
+    drawn = _with_draws(ids, id_col, seed).withColumns(
+        {
+            "material_category": weighted_choice(F.col("_u0"), MATERIAL_WEIGHTS),
+            "dimension_category": weighted_choice(F.col("_u1"), DIMENSION_WEIGHTS),
+        }
+    )
+    material, size = F.col("material_category"), F.col("dimension_category")
+    return drawn.select(
+        "simulation_id",
+        "material_category",
+        "dimension_category",
+        scaled(F.col("_u2"), *_class_range(size, DIMENSION_RANGES, "length_m")).alias("length_m"),
+        scaled(F.col("_u3"), *_class_range(size, DIMENSION_RANGES, "height_m")).alias("height_m"),
+        scaled(F.col("_u4"), *_class_range(material, MATERIAL_RANGES, "young_modulus_pa")).alias("young_modulus_pa"),
+        scaled(F.col("_u5"), *_class_range(material, MATERIAL_RANGES, "poisson_ratio")).alias("poisson_ratio"),
+        scaled(F.col("_u6"), *_class_range(material, MATERIAL_RANGES, "traction_pa")).alias("traction_pa"),
+        scaled(F.col("_u7"), *radius).alias("hole_radius_ratio"),
+        F.lit(mesh[0]).alias("mesh_nx"),
+        F.lit(mesh[1]).alias("mesh_ny"),
+    )
+
+
+def with_hole_center(
+    df: DataFrame,
+    id_col: str = "simulation_id",
+    cx: tuple[float, float] = (0.2, 0.8),
+    cy: tuple[float, float] = (0.2, 0.8),
+    seed: int = SEED,
+) -> DataFrame:
+    """Hole centre ratios inside the plate: each range is narrowed by the radius; an empty one gives 0.5."""
+    digest = seeded_digest(F.col(id_col), f"{seed}|center")
+    radius = F.col("hole_radius_ratio") * F.least("length_m", "height_m")
+
+    def center(slot: int, bounds: tuple[float, float], size: str) -> Column:
+        margin = radius / F.col(size)
+        low = F.greatest(F.lit(float(bounds[0])), margin)
+        high = F.least(F.lit(float(bounds[1])), F.lit(1.0) - margin)
+        return F.when(low >= high, F.lit(0.5)).otherwise(scaled(digest_uniform(digest, slot), low, high))
+
+    return df.withColumns({"hole_cx_ratio": center(0, cx, "length_m"), "hole_cy_ratio": center(1, cy, "height_m")})
