@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_GROUPS = ("ingest", "science")
+_GROUPS = ("ingest", "science", "learning", "monitoring")
 
 
 def _load() -> None:

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platewise.constants import CRITICAL_COLUMNS
+from platewise.operators.clean import clean
 from platewise.operators.monitor import request_log
+from platewise.session import new_path
+from platewise.sinks.tables import write_warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,6 +74,16 @@ def plates(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("ts", F.col("ts").cast("timestamp")).withColumnRenamed("ts", "timestamp")
 
 
+@lru_cache(maxsize=8)
+def _warehouse_path(spark: SparkSession, sf: str) -> str:
+    return write_warehouse(clean(plates(spark, sf)), new_path(spark, "warehouse"))
+
+
+def warehouse(spark: SparkSession, sf: str) -> DataFrame:
+    """The cleaned table as stored: written once per session, so that reports scan columns, not lineage."""
+    return spark.read.parquet(_warehouse_path(spark, sf))
+
+
 def log_rows(spark: SparkSession, sf: str) -> DataFrame:
     return request_log(table(spark, sf, "events"))
 

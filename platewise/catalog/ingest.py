@@ -19,6 +19,7 @@ from platewise.catalog.base import (
     rounded,
     stamp,
     table,
+    warehouse,
 )
 from platewise.constants import CRITICAL_COLUMNS, NUMERIC_COLUMNS, REQUIRED_COLUMNS
 from platewise.operators import clean as c
@@ -101,8 +102,7 @@ def union_sources(spark, sf):
 
 @query("scan_warehouse", f"{WAREHOUSE} SELECT simulation_id, source, max_von_mises_pa FROM clean WHERE traction_pa > 15e5")
 def scan_warehouse(spark, sf):
-    path = sinks.write_warehouse(c.clean(plates(spark, sf)), new_path(spark, "warehouse"))
-    return lake.scan_table(spark, path).filter("traction_pa > 15e5").select("simulation_id", "source", "max_von_mises_pa")
+    return warehouse(spark, sf).filter("traction_pa > 15e5").select("simulation_id", "source", "max_von_mises_pa")
 
 
 @query("etl_clean", f"{WAREHOUSE} SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, * EXCLUDE (ts) FROM clean")
@@ -286,8 +286,7 @@ def pseudonymize(spark, sf):
     sum(CASE WHEN simulation_id = sha256('sim-1-1') THEN 1 ELSE 0 END)::bigint AS n_hashed FROM clean""",
 )
 def pseudonym_check(spark, sf):
-    path = sinks.write_warehouse(c.clean(plates(spark, sf)), new_path(spark, "warehouse"))
-    wh = lake.scan_table(spark, path, ["simulation_id"])
+    wh = warehouse(spark, sf).select("simulation_id")
     plain, hashed = F.lit("sim-1-1"), F.sha2(F.lit("sim-1-1"), 256)
     # The filter is pushed to the scan: row groups without the two ids are skipped.
     hits = wh.filter((F.col("simulation_id") == plain) | (F.col("simulation_id") == hashed))
@@ -432,7 +431,7 @@ def null_counts(spark, sf):
     + " FROM clean",
 )
 def warehouse_quality(spark, sf):
-    return quality.warehouse_quality(c.clean(plates(spark, sf)))
+    return quality.warehouse_quality(warehouse(spark, sf))
 
 
 @query(
@@ -513,23 +512,23 @@ def validate_requests(spark, sf):
 # --- warehouse reports --------------------------------------------------------------------------------
 @query("rows_by_source", f"{WAREHOUSE} SELECT source, count(*) AS n FROM clean GROUP BY source")
 def rows_by_source(spark, sf):
-    return eda.rows_by_source(c.clean(plates(spark, sf)))
+    return eda.rows_by_source(warehouse(spark, sf))
 
 
 @query("source_stats", f"{WAREHOUSE} {eda.SOURCE_STATS.format(warehouse='clean')}")
 def source_stats(spark, sf):
-    view = lake.register_view(c.clean(plates(spark, sf)), "warehouse")
+    view = lake.register_view(warehouse(spark, sf), "warehouse")
     return view.sparkSession.sql(eda.SOURCE_STATS.format(warehouse="warehouse"))
 
 
 @query("source_dispersion", f"{WAREHOUSE} {eda.SOURCE_DISPERSION.format(warehouse='clean')}")
 def source_dispersion(spark, sf):
-    return eda.warehouse_report(c.clean(plates(spark, sf)), eda.SOURCE_DISPERSION)
+    return eda.warehouse_report(warehouse(spark, sf), eda.SOURCE_DISPERSION)
 
 
 @query("source_stats_eda", f"{WAREHOUSE} {eda.SOURCE_STATS_BY_STRESS.format(warehouse='clean')}")
 def source_stats_eda(spark, sf):
-    return eda.warehouse_report(c.clean(plates(spark, sf)), eda.SOURCE_STATS_BY_STRESS)
+    return eda.warehouse_report(warehouse(spark, sf), eda.SOURCE_STATS_BY_STRESS)
 
 
 @query(

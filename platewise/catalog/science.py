@@ -18,6 +18,7 @@ from platewise.catalog.base import (
     rounded,
     stamp,
     table,
+    warehouse,
 )
 from platewise.constants import DIMENSION_RANGES, MATERIAL_RANGES, NUMERIC_COLUMNS, TARGETS
 from platewise.functions.hashing import seeded_digest, stable_bucket
@@ -25,7 +26,6 @@ from platewise.functions.naming import decoded_log_displacement, decoded_log_str
 from platewise.functions.numeric import log10_floor
 from platewise.models.regress import feature_nulls, model_features
 from platewise.operators import eda, fields, metrics, physics, ranking, split, sweep
-from platewise.operators.clean import clean
 from platewise.operators.clusters import standard_scale
 from platewise.operators.features import LOG_FEATURES, engineer_features
 from platewise.operators.geometry import resolve_ambiguous
@@ -201,7 +201,7 @@ def split_hash(spark, sf):
     SELECT simulation_id, CASE WHEN pos < floor(n * 0.7e0) THEN 'train' WHEN pos < floor(n * 0.7e0) + floor(n * 0.15e0) THEN 'val' ELSE 'test' END AS split FROM numbered""",
 )
 def split_random(spark, sf):
-    return split.split_random(clean(plates(spark, sf)).select("simulation_id"))
+    return split.split_random(warehouse(spark, sf).select("simulation_id"))
 
 
 @query("split_sizes", f"{STORE} SELECT split, count(*) AS n, count(*) / (SELECT count(*) FROM store)::double AS share FROM store GROUP BY split")
@@ -255,7 +255,7 @@ _CLEAN_STORE = STORE.replace(f"WITH {PLATES}", f"{WAREHOUSE}").replace("FROM pla
     row_number() OVER (PARTITION BY split, geometry_type ORDER BY sha256(simulation_id || '|cap|42')) AS rn FROM store) WHERE rn <= 40""",
 )
 def stratified_cap(spark, sf):
-    rows = features_with_split(clean(plates(spark, sf)))
+    rows = features_with_split(warehouse(spark, sf))
     return cap_per_class(rows, 40).select("split", "geometry_type", "simulation_id")
 
 
@@ -265,7 +265,7 @@ def stratified_cap(spark, sf):
     row_number() OVER (PARTITION BY split, geometry_type ORDER BY sha256(simulation_id || '|field|42')) - 1 AS index FROM store""",
 )
 def group_index(spark, sf):
-    return field_names(features_with_split(clean(plates(spark, sf)))).select("split", "geometry_type", "simulation_id", "index")
+    return field_names(features_with_split(warehouse(spark, sf))).select("split", "geometry_type", "simulation_id", "index")
 
 
 @query(
@@ -273,7 +273,7 @@ def group_index(spark, sf):
     f"{WAREHOUSE} SELECT simulation_id, source FROM clean ORDER BY sha256(simulation_id || '|sample') LIMIT 3000",
 )
 def sample_n(spark, sf):
-    rows = clean(plates(spark, sf)).select("simulation_id", "source")
+    rows = warehouse(spark, sf).select("simulation_id", "source")
     return ranking.fixed_size_sample(rows, seeded_digest(F.col("simulation_id"), "sample"), 3000)
 
 
@@ -282,7 +282,7 @@ def sample_n(spark, sf):
     f"""{WAREHOUSE} SELECT source, simulation_id, rn AS rank FROM (SELECT source, simulation_id, row_number() OVER (PARTITION BY source ORDER BY simulation_id) AS rn FROM clean) WHERE rn <= 4""",
 )
 def first_per_group(spark, sf):
-    rows = clean(plates(spark, sf)).select("source", "simulation_id")
+    rows = warehouse(spark, sf).select("source", "simulation_id")
     return ranking.first_n_per_group(rows, ["source"], [F.col("simulation_id")], 4, rank="rank")
 
 
@@ -356,7 +356,7 @@ def significant(df: DataFrame, *columns: str) -> DataFrame:
     f"{WAREHOUSE} SELECT \"column\", count, {', '.join(_TEXT(c) for c in ('mean', 'std', 'min', 'q25', 'q50', 'q75', 'max'))} FROM ({_DESCRIBE})",
 )
 def describe_numeric(spark, sf):
-    return significant(eda.describe_numeric(clean(plates(spark, sf))), "mean", "std", "min", "q25", "q50", "q75", "max")
+    return significant(eda.describe_numeric(warehouse(spark, sf)), "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 _NULLABLE = ["geometry_type", "hole_radius_ratio", "hole_cx_ratio", "hole_cy_ratio", "max_displacement_m", "length_m"]
@@ -387,7 +387,7 @@ def null_audit(spark, sf):
     + ")",
 )
 def iqr_outliers(spark, sf):
-    return significant(eda.iqr_outliers(clean(plates(spark, sf))), "q1", "q3")
+    return significant(eda.iqr_outliers(warehouse(spark, sf)), "q1", "q3")
 
 
 _PAIRS = [(a, b) for a in NUMERIC_COLUMNS for b in NUMERIC_COLUMNS]
@@ -398,7 +398,7 @@ _PAIRS = [(a, b) for a in NUMERIC_COLUMNS for b in NUMERIC_COLUMNS]
     f"{WAREHOUSE} " + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM clean" for a, b in _PAIRS),
 )
 def pearson_matrix(spark, sf):
-    return rounded(eda.pearson_matrix(clean(plates(spark, sf))), 6, "r")
+    return rounded(eda.pearson_matrix(warehouse(spark, sf)), 6, "r")
 
 
 @query(
@@ -409,7 +409,7 @@ def pearson_matrix(spark, sf):
     ),
 )
 def target_corr(spark, sf):
-    return rounded(eda.target_correlations(clean(plates(spark, sf))), 6, "r")
+    return rounded(eda.target_correlations(warehouse(spark, sf)), 6, "r")
 
 
 @query(
@@ -417,7 +417,7 @@ def target_corr(spark, sf):
     f"{WAREHOUSE} SELECT round(corr(log10(traction_pa), log10(max_von_mises_pa)), 6) AS r_log, count(*) AS n FROM clean WHERE traction_pa > 0 AND max_von_mises_pa > 0",
 )
 def log_corr(spark, sf):
-    out = eda.log_correlation(clean(plates(spark, sf)), F.col("traction_pa"), F.col("max_von_mises_pa"))
+    out = eda.log_correlation(warehouse(spark, sf), F.col("traction_pa"), F.col("max_von_mises_pa"))
     return rounded(out, 6, "r_log")
 
 
@@ -443,17 +443,17 @@ def _box_sql(by: str) -> str:
 
 @query("box_by_source", _box_sql("source"))
 def box_by_source(spark, sf):
-    return rounded(eda.box_numbers(clean(plates(spark, sf)), "max_von_mises_pa", "source"), 3, "q1", "median", "q3")
+    return rounded(eda.box_numbers(warehouse(spark, sf), "max_von_mises_pa", "source"), 3, "q1", "median", "q3")
 
 
 @query("box_by_category", _box_sql("material_category"))
 def box_by_category(spark, sf):
-    return rounded(eda.box_numbers(clean(plates(spark, sf)), "max_von_mises_pa", "material_category"), 3, "q1", "median", "q3")
+    return rounded(eda.box_numbers(warehouse(spark, sf), "max_von_mises_pa", "material_category"), 3, "q1", "median", "q3")
 
 
 @query("box_by_size_class", _box_sql("dimension_category"))
 def box_by_size_class(spark, sf):
-    return rounded(eda.box_numbers(clean(plates(spark, sf)), "max_von_mises_pa", "dimension_category"), 3, "q1", "median", "q3")
+    return rounded(eda.box_numbers(warehouse(spark, sf), "max_von_mises_pa", "dimension_category"), 3, "q1", "median", "q3")
 
 
 _CHUNKED = ["length_m", "traction_pa", "hole_radius_ratio", "max_displacement_m", "max_von_mises_pa", "mesh_nx"]
@@ -818,7 +818,7 @@ def field_flip(spark, sf):
 @query("field_store")
 def field_store(spark, sf):
     path = new_path(spark, "fields")
-    write_field_set(features_with_split(clean(plates(spark, sf))), path, 16, 200)
+    write_field_set(features_with_split(warehouse(spark, sf)), path, 16, 200)
     return spark.read.parquet(path).groupBy("split", "geometry_type").agg(
         F.count("*").alias("n"), F.max(F.array_max("field")).alias("peak"), F.min("name").alias("first_name")
     )

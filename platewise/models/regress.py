@@ -105,7 +105,7 @@ def boosted(target: str, features: list[str], label: str, **params) -> Pipeline:
     )
     if p.get("validation"):
         # The default tolerance stops after a tree or two.
-        trees = trees.setValidationIndicatorCol(p["validation"]).setValidationTol(1e-5)
+        trees.setParams(validationTol=1e-5).setValidationIndicatorCol(p["validation"])
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="error"), trees])
 
 
@@ -314,12 +314,13 @@ def monotone_check(surrogate: Surrogate, store: DataFrame, target: str, points:
     sweeps = F.explode(
         F.array(
             *[
-                F.struct(F.lit(f).alias("feature"), F.lit(s).alias("sign"), linspace(ends[f]["lo"], ends[f]["hi"], points).alias("grid"))
+                F.struct(F.lit(f).alias("feature"), F.lit(s).alias("sign"), linspace(F.col("_e")[f]["lo"], F.col("_e")[f]["hi"], points).alias("grid"))
                 for f, s in signs.items()
             ]
         )
     )
-    laid = base.select("*", sweeps.alias("_s")).select("*", F.posexplode("_s.grid").alias("point", "_value"))
+    # The ends enter as a column: lambdas of array functions cannot hold a subquery themselves.
+    laid = base.withColumn("_e", ends).select("*", sweeps.alias("_s")).select("*", F.posexplode("_s.grid").alias("point", "_value"))
     swept = laid.withColumns(
         {f: F.when(F.col("_s.feature") == f, F.col("_value")).otherwise(F.col(f)) for f in signs}
     ).select(*by, *numeric, F.col("_s.feature").alias("feature"), F.col("_s.sign").alias("sign"), "point")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from platewise.constants import COVERAGE_Z, EPS, METRIC_NAMES, OVERFIT_GAP, UNDERFIT_R2
 from platewise.functions.numeric import inverse_normal, normal_cdf
 from platewise.operators.ranking import value_positions
+from platewise.operators.sizing import small_side
 
 
 def r2(truth: Column, prediction: Column) -> Column:
@@ -108,9 +109,8 @@ def interval_coverage(df: DataFrame, by: Sequence[str], residual: Column, z: flo
     rows = df.select(*by, residual.alias("_e")).filter(F.col("_e").isNotNull())
     sigma = rows.groupBy(*by).agg(F.stddev_pop("_e").alias("sigma"))
     inside = F.abs(F.col("_e")) <= F.lit(z) * F.col("sigma")
-    # Groups are targets or splits; the optimiser broadcasts the sigmas when they are small.
     return (
-        rows.join(sigma, list(by))
+        rows.join(small_side(sigma), list(by))
         .groupBy(*by)
         .agg(F.first("sigma").alias("sigma"), (F.avg(inside.cast("double")) * 100).alias("coverage_pct"))
     )
@@ -163,7 +163,7 @@ def ks_normal(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     rows = df.filter(F.col(value).isNotNull())
     moments = rows.groupBy(*by).agg(F.avg(value).alias("_mu"), F.stddev_pop(value).alias("_sigma"))
     if by:
-        standard = rows.join(moments, list(by)).select(*by, ((F.col(value) - F.col("_mu")) / F.col("_sigma")).alias("z"))
+        standard = rows.join(small_side(moments), list(by)).select(*by, ((F.col(value) - F.col("_mu")) / F.col("_sigma")).alias("z"))
     else:
         m = moments.select(F.struct("_mu", "_sigma").alias("m")).scalar()
         standard = rows.select(((F.col(value) - m["_mu"]) / m["_sigma"]).alias("z"))

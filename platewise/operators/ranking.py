@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from platewise.operators.sizing import small_side
 
 
+# Offsets are two short keys and a count, so this many rows are a few megabytes.
+_OFFSET_ROWS = 100_000
+
+
 def first_n_per_group(
     df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None, salts: int = 64
 ) -> DataFrame:
@@ -46,7 +50,7 @@ def group_index(df: DataFrame, by: Sequence[str], digest: Column, out: str = "in
     offsets = sizes.select(*by, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     inside = Window.partitionBy(*by, "_slice").orderBy("_digest")
     numbered = keyed.withColumn("_pos", F.row_number().over(inside))
-    left, right = numbered.alias("l"), offsets.alias("r")
+    left, right = numbered.alias("l"), small_side(offsets, _OFFSET_ROWS).alias("r")
     same = F.col("l._slice") == F.col("r._slice")
     for c in by:
         same = same & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))

@@ -93,23 +93,26 @@ def _hold_state(step: int, hold_s: int) -> Callable:
     return advance
 
 
-def stream_error_alerts(log: DataFrame, size: str, delay: str, hold: str, limit: float) -> DataFrame:
-    """Breaching windows per handler with the time the breach has been held, across micro-batches."""
-    step = seconds_of(size)
-    windows = (
+def stream_error_windows(log: DataFrame, size: str, delay: str) -> DataFrame:
+    """First stage of the error alert: server errors per handler and closed window."""
+    return (
         log.withWatermark("ts", delay)
         .filter(F.col("status").like(SERVER_ERROR))
         .groupBy(F.window("ts", size).alias("_w"), "handler")
-        .agg(F.count("*").alias("n"))
-        .select(
-            "handler",
-            "_w",
-            F.unix_seconds(F.col("_w.start")).alias("start_s"),
-            (F.col("n") / step > limit).alias("breach"),
-        )
-        .select("handler", "start_s", "breach")
+        .agg(F.count("*").alias("n_errors"))
+        .select("handler", F.unix_seconds(F.col("_w.start")).alias("start_s"), "n_errors")
     )
-    return windows.groupBy("handler").applyInPandasWithState(
+
+
+def stream_held(windows: DataFrame, size: str, hold: str, limit: float) -> DataFrame:
+    """Second stage: breaching windows with the time the breach has been held, across micro-batches.
+
+    It reads the table the first stage writes, so its state and its input are one row per window, however
+    long the log is.
+    """
+    step = seconds_of(size)
+    judged = windows.select("handler", "start_s", (F.col("n_errors") / step > limit).alias("breach"))
+    return judged.groupBy("handler").applyInPandasWithState(
         _hold_state(step, seconds_of(hold)), ALERT_OUTPUT, ALERT_STATE, "append", GroupStateTimeout.NoTimeout
     )
 
