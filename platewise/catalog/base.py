@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from platewise.constants import CRITICAL_COLUMNS
 from platewise.operators.clean import clean
 from platewise.operators.monitor import request_log
+from platewise.operators.sizing import spread
 from platewise.session import new_path
 from platewise.sinks.tables import write_warehouse
 
@@ -74,9 +75,19 @@ def plates(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("ts", F.col("ts").cast("timestamp")).withColumnRenamed("ts", "timestamp")
 
 
+@lru_cache(maxsize=8)
+def _plates_path(spark: SparkSession, sf: str) -> str:
+    return write_warehouse(spread(plates(spark, sf)), new_path(spark, "plates"))
+
+
+def stored_plates(spark: SparkSession, sf: str) -> DataFrame:
+    """The plates as stored: written once per session, so that jobs scan columns, not the projection above."""
+    return spark.read.parquet(_plates_path(spark, sf))
+
+
 @lru_cache(maxsize=8)
 def _warehouse_path(spark: SparkSession, sf: str) -> str:
-    return write_warehouse(clean(plates(spark, sf)), new_path(spark, "warehouse"))
+    return write_warehouse(clean(stored_plates(spark, sf)), new_path(spark, "warehouse"))
 
 
 def warehouse(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,34 +5,32 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from platewise.catalog.base import (
-    CLEAN,
     DEDUP,
-    FEATURES,
     FILLED,
     PLATE_COLUMNS,
     PLATES,
     SIGNAL,
-    TOTAL_ORDER,
     WAREHOUSE,
     plates,
     query,
-    rounded,
     stamp,
+    stored_plates,
     table,
     warehouse,
 )
-from platewise.constants import CRITICAL_COLUMNS, NUMERIC_COLUMNS, REQUIRED_COLUMNS
+from platewise.constants import CRITICAL_COLUMNS, REQUIRED_COLUMNS
+from platewise.functions.naming import date_partition
 from platewise.operators import clean as c
 from platewise.operators import eda, geometry, quality, requests
-from platewise.operators.features import feature_columns, prepare_holes
+from platewise.operators.features import prepare_holes
+from platewise.operators.integrity import make_manifest, reconcile_checksums
 from platewise.plans.etl import run_etl, validate_folder
+from platewise.plans.feature_store import feature_list, features_with_split
 from platewise.session import new_path
 from platewise.sinks import tables as sinks
 from platewise.sources import lake
 from platewise.sources.design import design_categorical, design_continuous, with_hole_center
 from platewise.sources.files import dataset_fingerprint, file_checksums, file_inventory
-from platewise.operators.integrity import make_manifest, reconcile_checksums
-from platewise.functions.naming import date_partition
 
 _COUNTS = "count(*) AS n, count(hole_radius_ratio) AS n_radius, count(geometry_type) AS n_geometry, min(traction_pa) AS min_traction, max(traction_pa) AS max_traction"
 
@@ -107,7 +105,7 @@ def scan_warehouse(spark, sf):
 
 @query("etl_clean", f"{WAREHOUSE} SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, * EXCLUDE (ts) FROM clean")
 def etl_clean(spark, sf):
-    return c.clean(plates(spark, sf)).withColumn("ts", stamp("timestamp")).drop("timestamp")
+    return c.clean(stored_plates(spark, sf)).withColumn("ts", stamp("timestamp")).drop("timestamp")
 
 
 @query("etl_roundtrip", f"{WAREHOUSE} SELECT source, count(*) AS n, min(traction_pa) AS lo, max(traction_pa) AS hi FROM clean GROUP BY source")
@@ -254,7 +252,7 @@ def drop_null_critical(spark, sf):
 
 @query("dedup_latest", f"WITH {PLATES}, {DEDUP} SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, * EXCLUDE (ts, rn) FROM dedup")
 def dedup_latest(spark, sf):
-    return c.latest_per_key(plates(spark, sf)).withColumn("ts", stamp("timestamp")).drop("timestamp")
+    return c.latest_per_key(stored_plates(spark, sf)).withColumn("ts", stamp("timestamp")).drop("timestamp")
 
 
 @query(
@@ -544,6 +542,4 @@ def source_stats_eda(spark, sf):
     + ") AS t(position, feature)",
 )
 def feature_column_list(spark, sf):
-    from platewise.plans.feature_store import feature_list, features_with_split
-
     return feature_list(features_with_split(plates(spark, sf)), training=True)

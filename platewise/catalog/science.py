@@ -6,17 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platewise.catalog.base import (
-    CLEAN,
     FEATURES,
     PLATES,
     RESULTS,
     STORE,
     WAREHOUSE,
     bucket_sql,
-    plates,
     query,
     rounded,
-    stamp,
+    stored_plates,
     table,
     warehouse,
 )
@@ -29,20 +27,19 @@ from platewise.operators import eda, fields, metrics, physics, ranking, split, s
 from platewise.operators.clusters import standard_scale
 from platewise.operators.features import LOG_FEATURES, engineer_features
 from platewise.operators.geometry import resolve_ambiguous
-from platewise.operators.quantiles import exact_quantiles
 from platewise.plans.feature_store import build_feature_store, features_with_split
 from platewise.plans.field_set import cap_per_class, field_names, field_set, write_field_set
 from platewise.session import new_path
-from platewise.sinks.tables import nested_metrics, write_metrics
+from platewise.sinks.tables import write_metrics
 from platewise.sources.lake import scan_metrics
 
 
 def features(spark, sf) -> DataFrame:
-    return engineer_features(resolve_ambiguous(plates(spark, sf)))
+    return engineer_features(resolve_ambiguous(stored_plates(spark, sf)))
 
 
 def store(spark, sf) -> DataFrame:
-    return features_with_split(plates(spark, sf))
+    return features_with_split(stored_plates(spark, sf))
 
 
 def analytic_results(spark, sf) -> DataFrame:
@@ -115,7 +112,7 @@ _ESTIMATE = """est0 AS (SELECT *, coalesce(hole_radius_ratio, 0e0) AS r FROM {so
     f"WITH {PLATES}, {_ESTIMATE.format(source='plates')} SELECT simulation_id, est_displacement_m, est_kt, est_von_mises_pa FROM est",
 )
 def analytic_estimate(spark, sf):
-    return physics.analytic_estimate(plates(spark, sf)).select("simulation_id", "est_displacement_m", "est_kt", "est_von_mises_pa")
+    return physics.analytic_estimate(stored_plates(spark, sf)).select("simulation_id", "est_displacement_m", "est_kt", "est_von_mises_pa")
 
 
 _YIELD = "(CASE material_category WHEN 'steel' THEN 250e0 WHEN 'aluminum' THEN 270e0 WHEN 'titanium' THEN 880e0 END * 1e6)"
@@ -130,7 +127,7 @@ _YIELD = "(CASE material_category WHEN 'steel' THEN 250e0 WHEN 'aluminum' THEN 2
 )
 def safety_assessment(spark, sf):
     names = ["safety_factor", "safety_band", "regime", "amplification", "displacement_ratio", "displacement_mm", "von_mises_mpa"]
-    return physics.safety_assessment(plates(spark, sf)).select("simulation_id", *names)
+    return physics.safety_assessment(stored_plates(spark, sf)).select("simulation_id", *names)
 
 
 @query(
@@ -139,7 +136,7 @@ def safety_assessment(spark, sf):
     CASE WHEN traction_pa / 1e6 > CASE material_category WHEN 'steel' THEN 2.2e0 WHEN 'aluminum' THEN 1.2e0 WHEN 'titanium' THEN 1.8e0 ELSE 2.2e0 END THEN 1 ELSE 0 END AS is_extrapolated FROM plates""",
 )
 def extrapolation_flag(spark, sf):
-    return physics.extrapolation_flag(plates(spark, sf)).select("simulation_id", "trained_max_mpa", "is_extrapolated")
+    return physics.extrapolation_flag(stored_plates(spark, sf)).select("simulation_id", "trained_max_mpa", "is_extrapolated")
 
 
 _PF = "(1e0 / greatest(1e0 - poisson_ratio * poisson_ratio, 1e-6))"
@@ -158,7 +155,7 @@ def _elong(net: str) -> str:
     FROM plates WHERE source = 'sim_v1_without_hole'""",
 )
 def proxy_plain(spark, sf):
-    rows = physics.proxy_plain(plates(spark, sf).filter("source = 'sim_v1_without_hole'"))
+    rows = physics.proxy_plain(stored_plates(spark, sf).filter("source = 'sim_v1_without_hole'"))
     return rows.select("simulation_id", "proxy_displacement_m", "proxy_von_mises_pa")
 
 
@@ -168,7 +165,7 @@ def proxy_plain(spark, sf):
     traction_pa * {_PF} * {_MF} * {_CONC} AS proxy_von_mises_pa FROM plates WHERE hole_radius_ratio IS NOT NULL""",
 )
 def proxy_hole(spark, sf):
-    rows = physics.proxy_hole(plates(spark, sf).filter("hole_radius_ratio IS NOT NULL"))
+    rows = physics.proxy_hole(stored_plates(spark, sf).filter("hole_radius_ratio IS NOT NULL"))
     return rows.select("simulation_id", "proxy_displacement_m", "proxy_von_mises_pa")
 
 
@@ -181,18 +178,18 @@ def proxy_hole(spark, sf):
     traction_pa * {_PF} * {_MF} * {_CONC} * (1e0 + 0.35e0 * least(radius / edge, 2e0)) AS proxy_von_mises_pa FROM inside""",
 )
 def proxy_moving(spark, sf):
-    return physics.proxy_moving(plates(spark, sf)).select("simulation_id", "proxy_displacement_m", "proxy_von_mises_pa")
+    return physics.proxy_moving(stored_plates(spark, sf)).select("simulation_id", "proxy_displacement_m", "proxy_von_mises_pa")
 
 
 # --- splits ---------------------------------------------------------------------------------------------
 @query("stable_bucket", f"WITH {PLATES} SELECT simulation_id, {bucket_sql('simulation_id')} AS bucket FROM plates")
 def bucket(spark, sf):
-    return plates(spark, sf).select("simulation_id", stable_bucket(F.col("simulation_id"), 42).alias("bucket"))
+    return stored_plates(spark, sf).select("simulation_id", stable_bucket(F.col("simulation_id"), 42).alias("bucket"))
 
 
 @query("split_hash", f"{STORE} SELECT simulation_id, split FROM store")
 def split_hash(spark, sf):
-    return split.split_hash(resolve_ambiguous(plates(spark, sf))).select("simulation_id", "split")
+    return split.split_hash(resolve_ambiguous(stored_plates(spark, sf))).select("simulation_id", "split")
 
 
 @query(
@@ -226,14 +223,14 @@ _OTHER_SEED = bucket_sql("simulation_id", 7)
     WHEN {_OTHER_SEED} < 0.7e0 + 0.15e0 THEN 'val' ELSE 'test' END""",
 )
 def split_seed_diff(spark, sf):
-    rows = resolve_ambiguous(plates(spark, sf)).select("simulation_id")
+    rows = resolve_ambiguous(stored_plates(spark, sf)).select("simulation_id")
     return split.split_changes(split.split_hash(rows, seed=42), split.split_hash(rows, seed=7))
 
 
 @query("union_splits", f"{STORE} SELECT split, count(*) AS n, max(traction_pa) AS hi FROM store GROUP BY split")
 def union_splits(spark, sf):
     path = new_path(spark, "store")
-    build_feature_store(spark, plates(spark, sf), path)
+    build_feature_store(spark, stored_plates(spark, sf), path)
     parts = [spark.read.parquet(f"{path}/features/split={s}").withColumn("split", F.lit(s)) for s in ("train", "val", "test")]
     return split.union_splits(*parts).groupBy("split").agg(F.count("*").alias("n"), F.max("traction_pa").alias("hi"))
 
@@ -241,7 +238,7 @@ def union_splits(spark, sf):
 @query("feature_store", f"{STORE} SELECT simulation_id, split, geometry_type, stress_amp_proxy, edge_ratio FROM store")
 def feature_store(spark, sf):
     path = new_path(spark, "store")
-    build_feature_store(spark, plates(spark, sf), path)
+    build_feature_store(spark, stored_plates(spark, sf), path)
     return spark.read.parquet(f"{path}/features").select("simulation_id", "split", "geometry_type", "stress_amp_proxy", "edge_ratio")
 
 
@@ -372,7 +369,7 @@ _NULLABLE = ["geometry_type", "hole_radius_ratio", "hole_cx_ratio", "hole_cy_rat
     + ") WHERE n_null > 0",
 )
 def null_audit(spark, sf):
-    return eda.null_audit(plates(spark, sf), _NULLABLE)
+    return eda.null_audit(stored_plates(spark, sf), _NULLABLE)
 
 
 @query(
@@ -428,7 +425,7 @@ def log_corr(spark, sf):
     SELECT b.bin::int AS bin, lo + b.bin * w AS low, lo + (b.bin + 1) * w AS high, coalesce(n, 0) AS n FROM range(50) b(bin) CROSS JOIN ends LEFT JOIN counts ON counts.bin = b.bin""",
 )
 def histogram(spark, sf):
-    return eda.histogram(plates(spark, sf), "max_von_mises_pa", 50)
+    return eda.histogram(stored_plates(spark, sf), "max_von_mises_pa", 50)
 
 
 def _box_sql(by: str) -> str:
@@ -469,7 +466,7 @@ _CHUNKED = ["length_m", "traction_pa", "hole_radius_ratio", "max_displacement_m"
     + ")",
 )
 def chunk_stats(spark, sf):
-    out = eda.chunk_stats(plates(spark, sf), ["source"], _CHUNKED)
+    out = eda.chunk_stats(stored_plates(spark, sf), ["source"], _CHUNKED)
     text = {c: F.when(F.col(c).isNotNull(), F.format_string("%.6e", c)) for c in ("min", "max", "mean", "std")}
     return out.withColumns(text)
 
@@ -509,12 +506,12 @@ def _range_sql(category: str, properties: list[str], rows: str) -> str:
 
 @query("class_range_check", _range_sql("material_category", ["young_modulus_pa", "poisson_ratio", "traction_pa"], _RANGE_ROWS))
 def class_range_check(spark, sf):
-    return eda.class_range_check(plates(spark, sf), MATERIAL_RANGES, "material_category")
+    return eda.class_range_check(stored_plates(spark, sf), MATERIAL_RANGES, "material_category")
 
 
 @query("size_range_check", _range_sql("dimension_category", ["length_m", "height_m"], _SIZE_ROWS))
 def size_range_check(spark, sf):
-    return eda.class_range_check(plates(spark, sf), DIMENSION_RANGES, "dimension_category")
+    return eda.class_range_check(stored_plates(spark, sf), DIMENSION_RANGES, "dimension_category")
 
 
 # --- scores ----------------------------------------------------------------------------------------------
@@ -715,7 +712,7 @@ _NUMBERED = f"""{PLATES}, numbered AS (SELECT p.simulation_id, p.max_von_mises_p
 
 @query("encode_targets", f"WITH {_NUMBERED}, {_NAME} SELECT simulation_id, name FROM named")
 def encode_targets(spark, sf):
-    rows = plates(spark, sf)
+    rows = stored_plates(spark, sf)
     name = target_name(F.col("simulation_id"), F.length("simulation_id"), F.col("max_von_mises_pa"), F.col("max_displacement_m"))
     return rows.select("simulation_id", name.alias("name"))
 

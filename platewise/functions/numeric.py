@@ -15,13 +15,17 @@ def number(c: Column) -> Column:
 
 
 def clip(c: Column, lower: float | None = None, upper: float | None = None) -> Column:
-    """Bound a column but keep its nulls (``greatest``/``least`` alone would replace them)."""
-    bounded = c
+    """Bound a column but keep its nulls (``greatest``/``least`` alone would replace them).
+
+    Written as CASE, which compiles to half the byte code: a generated method above 8,000 bytes is never
+    compiled by the JVM, and the feature projection has twenty of these.
+    """
+    bounded = F
     if lower is not None:
-        bounded = F.greatest(bounded, F.lit(float(lower)))
+        bounded = bounded.when(c < F.lit(float(lower)), F.lit(float(lower)))
     if upper is not None:
-        bounded = F.least(bounded, F.lit(float(upper)))
-    return F.when(c.isNotNull(), bounded)
+        bounded = bounded.when(c > F.lit(float(upper)), F.lit(float(upper)))
+    return bounded.otherwise(c)
 
 
 def log10_floor(c: Column, floor: float) -> Column:

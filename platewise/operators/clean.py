@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from platewise.constants import CRITICAL_COLUMNS, HOLE_COLUMNS
@@ -25,12 +25,12 @@ def cast_timestamp(df: DataFrame, column: str = "timestamp") -> DataFrame:
 def latest_per_key(df: DataFrame, key: str = "simulation_id", order: Sequence[str] = ("timestamp",)) -> DataFrame:
     """One row per key: the greatest by ``order``, ties settled by the remaining columns.
 
-    Nulls sort lowest. This is an aggregate, not a window, so the copies of a hot key shrink to one row per
-    task before the shuffle. A null key counts as one key.
+    Nulls sort lowest. A null key counts as one key. Spark plans ``row_number() = 1`` as a window group
+    limit on both sides of the shuffle, so the copies of a hot key shrink to one row per task before it.
     """
     rest = [c for c in df.columns if c != key and c not in order]
-    winner = F.max(F.struct(*order, *rest)).alias("_row")
-    return df.groupBy(key).agg(winner).select(*[key if c == key else F.col("_row")[c].alias(c) for c in df.columns])
+    newest = Window.partitionBy(key).orderBy(*[F.desc_nulls_last(c) for c in (*order, *rest)])
+    return df.withColumn("_copy", F.row_number().over(newest)).filter("_copy = 1").drop("_copy")
 
 
 def drop_null_critical(df: DataFrame, columns: Sequence[str] = CRITICAL_COLUMNS) -> DataFrame:

@@ -12,6 +12,8 @@ from platewise.operators.sizing import small_side
 
 # Offsets are two short keys and a count, so this many rows are a few megabytes.
 _OFFSET_ROWS = 100_000
+# Default of spark.sql.optimizer.windowGroupLimitThreshold.
+_GROUP_LIMIT = 1000
 
 
 def first_n_per_group(
@@ -19,21 +21,17 @@ def first_n_per_group(
 ) -> DataFrame:
     """The first ``n`` rows of every group.
 
-    Each group is first cut to ``n`` rows in ``salts`` slices, so a group holding a third of the table is
-    sorted by many tasks; the second window sees at most ``salts * n`` rows per group.
+    Up to ``_GROUP_LIMIT`` rows Spark cuts every group inside each task before the shuffle (window group
+    limit). For more, each group is first cut in ``salts`` slices, so that a group holding a third of the
+    table is sorted by many tasks; the second window sees at most ``salts * n`` rows per group.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
-    sliced = df.withColumn("_salt", salt)
-    local = Window.partitionBy(*by, "_salt").orderBy(*order)
     final = Window.partitionBy(*by).orderBy(*order)
     name = rank or "_rank"
-    out = (
-        sliced.withColumn("_n", F.row_number().over(local))
-        .filter(F.col("_n") <= n)
-        .drop("_n", "_salt")
-        .withColumn(name, F.row_number().over(final))
-        .filter(F.col(name) <= n)
-    )
+    if n > _GROUP_LIMIT:
+        local = Window.partitionBy(*by, "_salt").orderBy(*order)
+        sliced = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+        df = sliced.withColumn("_n", F.row_number().over(local)).filter(F.col("_n") <= n).drop("_n", "_salt")
+    out = df.withColumn(name, F.row_number().over(final)).filter(F.col(name) <= n)
     return out if rank else out.drop(name)
 
 

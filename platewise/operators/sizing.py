@@ -18,3 +18,9 @@ def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     if len(rows) > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the source has fewer splits than that; a large table is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
