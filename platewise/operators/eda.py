@@ -109,17 +109,34 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> Dat
     )
 
 
-def pearson_matrix(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
-    """``(a, b, r)`` for every ordered pair; each unordered pair is computed once, in one pass."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    one_row = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], names: tuple[str, str]) -> DataFrame:
+    """``(name0, name1, r)`` per pair, in one pass.
+
+    Pairs are laid out as rows inside each task and shrink to one row per pair before the shuffle: one small
+    compiled aggregate instead of a method with dozens of them.
+    """
+    laid = F.explode(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(a).alias(names[0]),
+                    F.lit(b).alias(names[1]),
+                    F.col(a).cast("double").alias("x"),
+                    F.col(b).cast("double").alias("y"),
+                )
+                for a, b in pairs
+            ]
+        )
+    )
+    return df.select(laid.alias("_p")).groupBy(*[F.col(f"_p.{n}").alias(n) for n in names]).agg(F.corr("_p.x", "_p.y").alias("r"))
 
-    def entry(a: str, b: str, r: Column) -> Column:
-        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r"))
 
-    entries = [entry(x, y, F.col(f"{a}|{b}")) for a, b in pairs for x, y in ((a, b), (b, a))]
-    entries += [entry(c, c, F.lit(1.0)) for c in columns]
-    return one_row.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*")
+def pearson_matrix(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
+    """``(a, b, r)`` for every ordered pair; each unordered pair is computed once."""
+    half = _correlations(df, [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]], ("a", "b"))
+    mirrored = F.explode(F.array(F.struct("a", "b", "r"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "r")))
+    diagonal = df.sparkSession.createDataFrame([(c, c, 1.0) for c in columns], "a string, b string, r double")
+    return half.select(mirrored.alias("_m")).select("_m.*").unionByName(diagonal)
 
 
 def target_correlations(
@@ -127,14 +144,8 @@ def target_correlations(
 ) -> DataFrame:
     """``(column, target, r)`` of each other column with each target, strongest first, in one pass."""
     pairs = [(c, t) for t in targets for c in columns if c != t]
-    one_row = df.agg(*[F.corr(c, t).alias(f"{c}|{t}") for c, t in pairs])
-    entries = [F.struct(F.lit(c).alias("column"), F.lit(t).alias("target"), F.col(f"{c}|{t}").alias("r")) for c, t in pairs]
-    return (
-        one_row.select(F.explode(F.array(*entries)).alias("_e"))
-        .select("_e.*")
-        .filter(F.col("r").isNotNull())
-        .orderBy("target", F.desc("r"))
-    )
+    found = _correlations(df, pairs, ("column", "target"))
+    return found.filter(F.col("r").isNotNull()).orderBy("target", F.desc("r"))
 
 
 def log_correlation(df: DataFrame, x: Column, y: Column) -> DataFrame:

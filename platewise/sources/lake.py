@@ -30,11 +30,18 @@ def scan_raw(spark: SparkSession, raw_path: str, raw_root: str | None = None, pa
     if not partitioned:
         reader = reader.option("recursiveFileLookup", "true")
         return reader.parquet(raw_path).withColumn("source", source_of_path(F.col("_metadata.file_path"), raw_root))
-    return (
-        reader.option("basePath", raw_path)
-        .parquet(f"{raw_path.rstrip('/')}/*")
-        .withColumn("source", source_of_path(F.col("_metadata.file_path"), raw_root))
-    )
+    folders = _source_folders(spark, raw_path)
+    if not folders:
+        raise FileNotFoundError(f"no source folders in {raw_path}")
+    return union_sources(*[reader.parquet(path).withColumn("source", F.lit(name)) for name, path in folders])
+
+
+def _source_folders(spark: SparkSession, raw_path: str) -> list[tuple[str, str]]:
+    """Names and paths of the folders right below the raw root: one per source, listed on the driver."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(raw_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted((s.getPath().getName(), s.getPath().toString()) for s in fs.listStatus(root) if s.isDirectory())
 
 
 def _has_files(spark: SparkSession, path: str, suffix: str) -> bool:
