@@ -36,35 +36,35 @@ def stored(spark, sf) -> DataFrame:
 
 
 @lru_cache(maxsize=4)
-def _surrogate_path(spark: SparkSession, sf: str) -> str:
-    fitted = regress.fit_surrogate(stored(spark, sf), version="v1", **_QUICK)
+def _plate_model_path(spark: SparkSession, sf: str) -> str:
+    fitted = regress.fit_plate_model(stored(spark, sf), version="v1", **_QUICK)
     return fitted.save(new_path(spark, "model"))
 
 
-def surrogate(spark, sf) -> regress.Surrogate:
-    return regress.load_surrogate(spark, _surrogate_path(spark, sf))
+def plate_model(spark, sf) -> regress.PlateModel:
+    return regress.load_plate_model(spark, _plate_model_path(spark, sf))
 
 
 @query("gbt_train_score")
 def gbt_train_score(spark, sf):
     """Feature store, boosted trees per target with early stopping, scores on every split."""
-    return regress.evaluate(surrogate(spark, sf), stored(spark, sf))
+    return regress.evaluate(plate_model(spark, sf), stored(spark, sf))
 
 
 @query("evaluate_batch")
 def evaluate_batch(spark, sf):
-    return regress.evaluate(surrogate(spark, sf), stored(spark, sf).filter("split IN ('val', 'test')"))
+    return regress.evaluate(plate_model(spark, sf), stored(spark, sf).filter("split IN ('val', 'test')"))
 
 
 @query("predict_batch")
 def predict_batch(spark, sf):
     cases = _request_rows(spark, sf).withColumnRenamed("k", "case_kind").drop("max_displacement_m", "max_von_mises_pa")
-    return regress.predict_cases(surrogate(spark, sf), cases)
+    return regress.predict_cases(plate_model(spark, sf), cases)
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    return regress.feature_importance(surrogate(spark, sf), _surrogate_path(spark, sf))
+    return regress.feature_importance(plate_model(spark, sf), _plate_model_path(spark, sf))
 
 
 @query("top_features")
@@ -74,12 +74,12 @@ def top_features(spark, sf):
 
 @query("monotone_check")
 def monotone_check(spark, sf):
-    return regress.monotone_check(surrogate(spark, sf), stored(spark, sf), "max_von_mises_pa")
+    return regress.monotone_check(plate_model(spark, sf), stored(spark, sf), "max_von_mises_pa")
 
 
 @query("rf_baseline")
 def rf_baseline(spark, sf):
-    forest = regress.fit_surrogate(
+    forest = regress.fit_plate_model(
         stored(spark, sf), build=regress.forest, targets=("max_von_mises_pa",), numTrees=10, maxDepth=8
     )
     return regress.evaluate(forest, stored(spark, sf))
@@ -102,7 +102,7 @@ def stream_predict(spark, sf):
     lake, out = new_path(spark, "cases"), new_path(spark, "stream")
     cases = _request_rows(spark, sf).withColumnRenamed("k", "case_kind").drop("max_displacement_m", "max_von_mises_pa")
     cases.write.parquet(lake)
-    jobs.drain(jobs.stream_predict(surrogate(spark, sf), stream_parquet(spark, lake, cases.schema)), out, new_path(spark, "state"))
+    jobs.drain(jobs.stream_predict(plate_model(spark, sf), stream_parquet(spark, lake, cases.schema)), out, new_path(spark, "state"))
     return spark.read.parquet(out)
 
 

@@ -1,4 +1,4 @@
-"""Supervised surrogates: boosted trees and a forest baseline on normalised log targets."""
+"""Supervised plate models: boosted trees and a forest baseline on normalised log targets."""
 
 from __future__ import annotations
 
@@ -43,7 +43,7 @@ FOREST = {"numTrees": 100, "maxDepth": 15, "minInstancesPerNode": 5, "featureSub
 
 
 @dataclass
-class Surrogate:
+class PlateModel:
     """One fitted pipeline per target with what is needed to score raw cases."""
 
     models: dict[str, PipelineModel]
@@ -64,10 +64,10 @@ class Surrogate:
         return path
 
 
-def load_surrogate(spark: SparkSession, path: str, targets=TARGETS) -> Surrogate:
+def load_plate_model(spark: SparkSession, path: str, targets=TARGETS) -> PlateModel:
     rows = spark.read.parquet(f"{path}/features").orderBy("position").collect()
     models = {t: PipelineModel.load(f"{path}/{t}") for t in targets}
-    return Surrogate(models, [r["feature"] for r in rows], spark.read.parquet(f"{path}/vocabulary"), rows[0]["version"])
+    return PlateModel(models, [r["feature"] for r in rows], spark.read.parquet(f"{path}/vocabulary"), rows[0]["version"])
 
 
 def model_features(df: DataFrame) -> list[str]:
@@ -117,7 +117,7 @@ def forest(target: str, features: list[str], label: str, **params) -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="error"), trees])
 
 
-def fit_surrogate(store: DataFrame, build=boosted, targets=TARGETS, version: str = "v0", **params) -> Surrogate:
+def fit_plate_model(store: DataFrame, build=boosted, targets=TARGETS, version: str = "v0", **params) -> PlateModel:
     """Fit every target on train, stopping early on val; raises when a feature is null."""
     frame, vocabulary, features = training_frame(store)
     known = frame.filter(F.col("split").isin("train", "val"))
@@ -133,15 +133,15 @@ def fit_surrogate(store: DataFrame, build=boosted, targets=TARGETS, version: str
         rows = rows if early else rows.filter("split = 'train'")
         options = params | ({"validation": "_validate"} if early else {})
         models[target] = build(target, features, f"log_{target}", **options).fit(rows)
-    return Surrogate(models, features, vocabulary, version, dict(params))
+    return PlateModel(models, features, vocabulary, version, dict(params))
 
 
-def score(surrogate: Surrogate, df: DataFrame) -> DataFrame:
+def score(plate_model: PlateModel, df: DataFrame) -> DataFrame:
     """Add ``pred_<target>`` (normalised log) and ``predicted_<target>`` (physical) to feature rows."""
-    encoded = encode_ordinal(df, surrogate.vocabulary, CATEGORICAL_COLUMNS)
-    for target, model in surrogate.models.items():
+    encoded = encode_ordinal(df, plate_model.vocabulary, CATEGORICAL_COLUMNS)
+    for target, model in plate_model.models.items():
         encoded = model.transform(encoded).drop("_features")
-    return encoded.withColumns({f"predicted_{t}": denormalize(F.col(f"pred_{t}"), t) for t in surrogate.models})
+    return encoded.withColumns({f"predicted_{t}": denormalize(F.col(f"pred_{t}"), t) for t in plate_model.models})
 
 
 def evaluation_rows(scored: DataFrame, targets=TARGETS) -> DataFrame:
@@ -163,12 +163,12 @@ def evaluation_rows(scored: DataFrame, targets=TARGETS) -> DataFrame:
     return log_targets(scored, targets).select("split", rows.alias("_r")).select("split", "_r.*").filter("y_log IS NOT NULL")
 
 
-def evaluate(surrogate: Surrogate, store: DataFrame) -> DataFrame:
+def evaluate(plate_model: PlateModel, store: DataFrame) -> DataFrame:
     """The six scores per target and split."""
-    return regression_metrics(evaluation_rows(score(surrogate, store), tuple(surrogate.models)))
+    return regression_metrics(evaluation_rows(score(plate_model, store), tuple(plate_model.models)))
 
 
-def predict_cases(surrogate: Surrogate, cases: DataFrame) -> DataFrame:
+def predict_cases(plate_model: PlateModel, cases: DataFrame) -> DataFrame:
     """Raw cases to predictions: validate, engineer, encode, score, denormalise.
 
     Refused cases are left out (see ``validate_requests``). Inputs and model version are echoed.
@@ -178,22 +178,22 @@ def predict_cases(surrogate: Surrogate, cases: DataFrame) -> DataFrame:
         rows = rows.withColumn("timestamp", F.current_timestamp())
     echo = ["simulation_id", "geometry_type", "length_m", "height_m", "young_modulus_pa", "traction_pa", "hole_radius_ratio"]
     inputs = F.struct(*[F.col(c) for c in echo[1:]]).alias("input")
-    scored = score(surrogate, engineer_features(rows.withColumn("_input", inputs), require_targets=False))
+    scored = score(plate_model, engineer_features(rows.withColumn("_input", inputs), require_targets=False))
     return scored.select(
         "simulation_id",
-        F.lit(surrogate.version).alias("model_version"),
+        F.lit(plate_model.version).alias("model_version"),
         *[F.col(f"_input.{c}").alias(c) for c in echo[1:]],
-        *[F.col(f"predicted_{t}").alias(t) for t in surrogate.models],
+        *[F.col(f"predicted_{t}").alias(t) for t in plate_model.models],
     )
 
 
-def feature_importance(surrogate: Surrogate, path: str) -> DataFrame:
+def feature_importance(plate_model: PlateModel, path: str) -> DataFrame:
     """``(target, feature, gain, n_splits)``; split counts come from the stored trees at ``path``."""
-    spark = surrogate.vocabulary.sparkSession
+    spark = plate_model.vocabulary.sparkSession
     out = None
-    for target, model in surrogate.models.items():
+    for target, model in plate_model.models.items():
         gains = model.stages[-1].featureImportances
-        rows = [(target, i, f, float(gains[i])) for i, f in enumerate(surrogate.features)]
+        rows = [(target, i, f, float(gains[i])) for i, f in enumerate(plate_model.features)]
         table = spark.createDataFrame(rows, "target string, position int, feature string, gain double")
         nodes = spark.read.parquet(f"{path}/{target}/stages/1_*/data")
         splits = (
@@ -297,15 +297,15 @@ def monotone_signs(features: list[str], spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(f, MONOTONE_SIGNS.get(f, 0)) for f in features], "feature string, sign int")
 
 
-def monotone_check(surrogate: Surrogate, store: DataFrame, target: str, points: int = 12) -> DataFrame:
+def monotone_check(plate_model: PlateModel, store: DataFrame, target: str, points: int = 12) -> DataFrame:
     """Sign violations per constrained feature.
 
     Base cases are the average plate of each material and geometry. Each constrained feature is swept over
     its observed range with everything else fixed; all sweeps are scored in one pass and compared with
     ``lag``.
     """
-    signs = {f: s for f, s in MONOTONE_SIGNS.items() if s and f in surrogate.features}
-    numeric = [f for f in surrogate.features if f not in CATEGORICAL_COLUMNS]
+    signs = {f: s for f, s in MONOTONE_SIGNS.items() if s and f in plate_model.features}
+    numeric = [f for f in plate_model.features if f not in CATEGORICAL_COLUMNS]
     by = list(CATEGORICAL_COLUMNS)
     base = store.groupBy(*by).agg(*[F.avg(f).alias(f) for f in numeric], F.count("*").alias("_n"))
     ends = store.agg(
@@ -326,8 +326,8 @@ def monotone_check(surrogate: Surrogate, store: DataFrame, target: str, points:
     ).select(*by, *numeric, F.col("_s.feature").alias("feature"), F.col("_s.sign").alias("sign"), "point")
     # Encoding replaces the category columns, so the case key is kept apart.
     keyed = swept.withColumn("case", F.concat_ws("|", *by))
-    encoded = encode_ordinal(keyed, surrogate.vocabulary, CATEGORICAL_COLUMNS)
-    scored = surrogate.models[target].transform(encoded)
+    encoded = encode_ordinal(keyed, plate_model.vocabulary, CATEGORICAL_COLUMNS)
+    scored = plate_model.models[target].transform(encoded)
     order = Window.partitionBy("case", "feature").orderBy("point")
     step = F.col(f"pred_{target}") - F.lag(f"pred_{target}").over(order)
     return (

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from platewise.constants import METRIC_NAMES
 from platewise.schema import RAW_SCHEMA, conform
 
-# Fixed value: the folder right below the raw root names the source.
-SOURCE_PATTERN = r"(?:raw-simulations/|raw[/\\])([^/\\]+)[/\\]"
+# Fixed value: the folder right below the raw root (a folder or bucket whose name starts with raw) names the source.
+SOURCE_PATTERN = r"[/\\]raw[^/\\]*[/\\]([^/\\]+)[/\\]"
 
 
 def source_of_path(path_column, raw_root: str | None = None):

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from platewise.models.regress import Surrogate, predict_cases
+from platewise.models.regress import PlateModel, predict_cases
 from platewise.operators.clean import cast_timestamp, drop_null_critical, pseudonymize
 from platewise.operators.monitor import SERVER_ERROR, seconds_of
 
@@ -41,9 +41,9 @@ def stream_clean(raw: DataFrame, delay: str = "1 day") -> DataFrame:
     )
 
 
-def stream_predict(surrogate: Surrogate, cases: DataFrame) -> DataFrame:
+def stream_predict(plate_model: PlateModel, cases: DataFrame) -> DataFrame:
     """Streaming form of batch prediction: a narrow, stateless projection."""
-    return predict_cases(surrogate, cases)
+    return predict_cases(plate_model, cases)
 
 
 def stream_windows(log: DataFrame, size: str, delay: str, by: tuple[str, ...] = ()) -> DataFrame:

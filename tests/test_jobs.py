@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from platewise.catalog.base import log_rows
-from platewise.catalog.learning import stored, surrogate
+from platewise.catalog.learning import stored, plate_model
 from platewise.models import regress
 from platewise.operators.features import engineer_features
 from platewise.sources.lake import stream_parquet
@@ -18,16 +18,16 @@ def run(spark, name):
     return entry.queries()[name](spark, SF)
 
 
-def test_surrogate_beats_the_mean(spark):
+def test_plate_model_beats_the_mean(spark):
     rows = {(r["target"], r["split"]): r for r in run(spark, "gbt_train_score").collect()}
     assert set(s for _, s in rows) == {"train", "val", "test"}
     assert rows["max_von_mises_pa", "train"]["r2_log"] > 0.5
     assert rows["max_von_mises_pa", "test"]["r2_log"] > 0.0
 
 
-def test_saved_surrogate_scores_the_same(spark, tmp_path):
-    one = surrogate(spark, SF)
-    two = regress.load_surrogate(spark, one.save(str(tmp_path / "m")))
+def test_saved_plate_model_scores_the_same(spark, tmp_path):
+    one = plate_model(spark, SF)
+    two = regress.load_plate_model(spark, one.save(str(tmp_path / "m")))
     a = regress.evaluate(one, stored(spark, SF)).orderBy("target", "split").collect()
     b = regress.evaluate(two, stored(spark, SF)).orderBy("target", "split").collect()
     assert [tuple(r)[:2] for r in a] == [tuple(r)[:2] for r in b]
@@ -43,13 +43,13 @@ def test_stream_and_batch_predictions_agree(spark):
 
 def test_unknown_category_is_scored(spark, plate_rows):
     rows = engineer_features(plate_rows({"material_category": "wood"}))
-    assert regress.score(surrogate(spark, SF), rows).first()["predicted_max_von_mises_pa"] > 0
+    assert regress.score(plate_model(spark, SF), rows).first()["predicted_max_von_mises_pa"] > 0
 
 
 def test_null_features_raise(spark):
     broken = stored(spark, SF).withColumn("length_m", F.when(F.col("simulation_id") > "8", F.col("length_m")))
     with pytest.raises(ValueError, match="null"):
-        regress.fit_surrogate(broken)
+        regress.fit_plate_model(broken)
 
 
 def test_importance_and_monotone(spark):

@@ -224,3 +224,12 @@ def test_object_store_conf():
     conf = object_store_conf("http://store:9000", "key", "secret")
     assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
     assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
+
+
+def test_source_from_path(spark):
+    from platewise.sources.lake import source_of_path
+
+    paths = ["s3a://raw-plates/one/date=2026-01-01/p.parquet", "file:/data/raw/two/p.parquet", "file:/lake/three/p.parquet"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    assert [r[0] for r in df.select(source_of_path(F.col("p"))).collect()] == ["one", "two", ""]
+    assert [r[0] for r in df.select(source_of_path(F.col("p"), "file:/lake")).collect()] == ["", "", "three"]
