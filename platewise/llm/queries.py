@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from platewise.llm import bpe, url_rules
+from platewise.llm import bpe, substring, url_rules
 from platewise.llm.registry import documents, query
 
 
@@ -16,6 +17,24 @@ def op1_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(documents(spark, sf), path, public_tokenizers.PATTERN))
 
 
+@query(
+    "op2_substring_dedup",
+    r"""WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    windows AS (SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS s FROM docs, unnest(range(1, len(ws) - 11)) AS t(i)),
+    firsts AS (SELECT s, min(doc_id) AS origin FROM windows GROUP BY s),
+    hits AS (SELECT doc_id, i FROM windows JOIN firsts USING (s) WHERE origin < doc_id),
+    gone AS (SELECT DISTINCT doc_id, i + j AS p FROM hits, range(13) AS t(j)),
+    words AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM docs),
+    kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+    FROM docs LEFT JOIN kept USING (doc_id)""",
+)
+def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every document without the 13-word windows of earlier ones."""
+    out = substring.remove_repeats(documents(spark, sf), 13)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 # The rules of the contract.
 URL_RULES = [
     ("com", "/", "allow"),
