@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bpe, substring, url_rules
+from platewise.llm import bpe, neardup, substring, url_rules
 from platewise.llm.registry import documents, query
 
 
@@ -35,6 +35,24 @@ def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query(
+    "op3_near_duplicates",
+    r"""WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    shingles AS (SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS s FROM words, unnest(range(1, greatest(len(ws) - 3, 2))) AS t(i) WHERE len(ws) > 0),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (SELECT x, y FROM common JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id WHERE 100 * c >= 75 * (p.n + q.n - c)),
+    both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+    reach(doc_id, low) AS (SELECT doc_id, doc_id FROM documents UNION SELECT b.y, r.low FROM reach r JOIN both_ways b ON r.doc_id = b.x)
+    SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, min(r.low) AS component_id, d.doc_id = min(r.low) AS kept
+    FROM documents d JOIN reach r USING (doc_id) LEFT JOIN sizes s USING (doc_id) GROUP BY d.doc_id, s.n""",
+)
+def op3_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Component of every document."""
+    return neardup.near_duplicates(documents(spark, sf))
+
+
 # The rules of the contract.
 URL_RULES = [
     ("com", "/", "allow"),

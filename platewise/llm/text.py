@@ -83,3 +83,33 @@ def gram_starts(first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(counts)), counts)
     within = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
     return first[:-1][owner] + within, owner
+
+
+def slices(texts: list[bytes], limit: int = 4 << 20) -> list[tuple[int, int]]:
+    """Ranges of consecutive texts of at most about ``limit`` bytes, one text at least."""
+    out, begin, size = [], 0, 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > limit:
+            out.append((begin, i))
+            begin, size = i, 0
+        size += len(text) + 1
+    return [*out, (begin, len(texts))] if texts else []
+
+
+def shingle_sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ``n``-word shingles of each text, sorted, and where each text's begin; fewer words count as one shingle."""
+    at, _ = gram_starts(words.first, n)
+    hashes = grams(words.hashes, n)[at] if len(at) else np.zeros(0, dtype=np.uint64)
+    counts = np.diff(words.first)
+    ends = np.cumsum(np.maximum(counts - n + 1, 0))
+    sets = []
+    for i, count in enumerate(counts.tolist()):
+        if count >= n:
+            sets.append(np.unique(hashes[ends[i] - (count - n + 1) : ends[i]]))
+        elif count:
+            short = words.hashes[words.first[i] : words.first[i + 1]]
+            sets.append(mix(grams(short, count) + np.uint64(count)))
+        else:
+            sets.append(hashes[:0])
+    first = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int64)
+    return (np.concatenate(sets) if sets else hashes[:0]), first
