@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bpe, neardup, substring, url_rules
+from platewise.llm import bpe, neardup, substring, toxicity, url_rules
 from platewise.llm.registry import documents, query
 
 
@@ -53,6 +53,21 @@ def op3_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf))
 
 
+def held_out(remainder: int, parts: int):
+    """Whether a document belongs to the part whose labels are not learned from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == remainder
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of two thirds of the ids."""
+    docs = documents(spark, sf)
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.train(docs, labels.where(~held_out(1, 3)), label="toxic")
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out(1, 3).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 # The rules of the contract.
 URL_RULES = [
     ("com", "/", "allow"),
