@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 # Bounds of the training sample, per class: documents and bytes of text.
 TRAIN_DOCUMENTS, TRAIN_BYTES = 1500, 5 << 20
-PASSAGE, DIMENSIONS, EPOCHS, RATE, DECAY = 12, 4, 120, 0.1, 1e-4
+PASSAGE, DIMENSIONS, EPOCHS, RATE, DECAY = 12, 4, 80, 0.1, 1e-4
 # An n-gram gets a vector if its share in toxic documents differs by so many standard errors from that of all n-grams.
 LEAST_ERRORS, LEAST_COUNT = 4.0, 5
 GRAMS = (3, 4, 5, 6)
@@ -150,8 +150,11 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 1) -> Model:
     owner = np.array([i for i, _ in cuts])
     passage = np.repeat(np.arange(len(cuts)), [len(d) for _, d in cuts])
     words = np.concatenate([d for _, d in cuts])
+    known = (np.bincount(of_word, minlength=len(names)) > 0)[words]  # other words have the vector 0
+    passage, words = passage[known], words[known]
     weight = 1.0 / np.maximum(np.array([len(d) for _, d in cuts]), PASSAGE // 2)[:, None]
     toxic = labels[owner] == 1
+    heads = np.flatnonzero(np.append(True, np.diff(owner) != 0))
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.1, (len(kept), DIMENSIONS))
     softmax = rng.normal(0, 0.5, (2, DIMENSIONS))
@@ -167,7 +170,7 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 1) -> Model:
         use = np.ones(len(cuts))
         if epoch >= EPOCHS // 6:
             best = np.full(len(docs), -np.inf)
-            np.maximum.at(best, owner, margin)
+            best[owner[heads]] = np.maximum.reduceat(margin, heads)
             use[toxic & (margin < best[owner])] = 0
         each = np.bincount(owner, use, len(docs))
         error = (p - toxic) * use / each[owner] / len(docs)
