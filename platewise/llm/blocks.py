@@ -42,11 +42,11 @@ def block_of(key: Column, bounds: list[int]) -> Column:
     return (high * step + F.size(F.filter(F.get(fine, high), lambda b: b <= key)) - 1).cast("int")
 
 
-def in_blocks(df: DataFrame, bounds: list[int], key: str = "doc_id") -> DataFrame:
+def in_blocks(df: DataFrame, bounds: list[int], key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows moved to their blocks, column ``block``. Rows without an id are spread over blocks of their own, below 0."""
     if not bounds:
         bounds = [0]
-    loose = -1 - F.floor(F.rand(11) * len(bounds)).cast("int")
+    loose = -1 - F.pmod(F.xxhash64(text), F.lit(len(bounds))).cast("int")
     block = F.when(F.col(key).isNull(), loose).otherwise(block_of(F.col(key), bounds))
     return df.withColumn("block", block).repartition(len(bounds), "block")
 

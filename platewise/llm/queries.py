@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bpe, neardup, substring, toxicity, url_rules
+from platewise.llm import bpe, neardup, quality, substring, syncmers, toxicity, url_rules
 from platewise.llm.registry import documents, query
 
 
@@ -68,6 +68,23 @@ def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", held_out(1, 3).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@query("op5_quality")
+def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality of every document, learned from the labels of three quarters of the ids."""
+    docs = documents(spark, sf)
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    model = quality.train(docs, labels.where(~held_out(2, 4)), label="quality")
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", held_out(2, 4).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op6_syncmers")
+def op6_syncmers(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprint of every document, and its likeness to an edited text's and to the next document's."""
+    out = syncmers.edited_likeness(documents(spark, sf))
+    return out.withColumn("edited_text", F.sha2("edited_text", 256)).withColumnRenamed("edited_text", "edited_sha256")
+
+
 # The rules of the contract.
 URL_RULES = [
     ("com", "/", "allow"),
