@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bpe, neardup, quality, substring, syncmers, toxicity, url_rules
+from platewise.llm import bpe, neardup, pii, quality, substring, syncmers, toxicity, url_rules
 from platewise.llm.registry import documents, query
 
 
@@ -85,6 +85,15 @@ def op6_syncmers(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("edited_text", F.sha2("edited_text", 256)).withColumnRenamed("edited_text", "edited_sha256")
 
 
+@query("op9_pii")
+def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base spans, and the list of all spans."""
+    found = pii.find_spans(documents(spark, sf))
+    counts = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    base = F.sha2(pii.span_list(F.col("base")), 256)
+    return found.select("doc_id", *counts, base.alias("base_sha256"), pii.span_list(F.col("spans")).alias("spans"))
+
+
 # The rules of the contract.
 URL_RULES = [
     ("com", "/", "allow"),
