@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bpe, neardup, pii, quality, substring, syncmers, toxicity, url_rules
+from platewise.llm import bpe, decontaminate, neardup, pii, quality, substring, syncmers, toxicity, url_rules
 from platewise.llm.registry import documents, query
 
 
@@ -85,6 +85,12 @@ def op6_syncmers(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("edited_text", F.sha2("edited_text", 256)).withColumnRenamed("edited_text", "edited_sha256")
 
 
+@query("op7_decontaminate")
+def op7_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and the benchmark items whose templates they hold."""
+    return decontaminate.find_leaks(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
 @query("op9_pii")
 def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
     """Personal data in every document: counts and digest of the base spans, and the list of all spans."""

@@ -63,7 +63,7 @@ def with_sketch(df: DataFrame, text: str, name: str) -> DataFrame:
 def anchors(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Columns: the key, ``position`` (word number from 0), ``anchor``: every closed syncmer, for positional matching."""
     rows = docs.select(F.col(key).alias("key"), word_hashes(F.coalesce(F.col(text), F.lit(""))).alias("words"))
-    found = rows.select("key", F.posexplode(closed_syncmers(F.col("words"))).alias("position", "anchor"))
+    found = rows.select("key", F.posexplode_outer(closed_syncmers(F.col("words"))).alias("position", "anchor"))
     return found.where("anchor IS NOT NULL").withColumnRenamed("key", key)
 
 
