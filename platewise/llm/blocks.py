@@ -73,26 +73,50 @@ def _edges(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(keys, marks), [len(keys)]))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Booleans as bits; other values as byte planes, whose mostly empty ones compress away."""
+    if values.dtype == bool:
+        return np.packbits(values).tobytes()
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes() if len(values) else b""
+
+
+def _from_planes(data: bytes, n: int, dtype: np.dtype) -> np.ndarray:
+    if dtype == bool:
+        return np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool)
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(-1, n).T).view(dtype).ravel()
+
+
 def key_lookup(
     blocked: DataFrame,
     buckets: int,
-    keys_of: Callable[[pa.Table], tuple[np.ndarray, np.ndarray | None]],
-    answer: Callable[[np.ndarray, np.ndarray, np.ndarray | None], np.ndarray],
+    keys_of: Callable[..., tuple[np.ndarray, np.ndarray | None]],
+    answer: Callable[[np.ndarray, np.ndarray | None], tuple[np.ndarray, list[int]]],
+    counted: np.dtype | None = None,
+    known: DataFrame | None = None,
 ) -> DataFrame:
-    """Columns ``block``, ``bucket``, ``answers``: for each block, one packed value per distinct key.
+    """Columns ``block``, ``bucket``, ``answers`` (for each block, one packed value per distinct key) and ``totals``.
 
-    ``keys_of`` makes a block's distinct sorted 64-bit keys (and, if wanted, an unsigned count of each).
-    ``answer`` gets all keys of a bucket with their blocks (and counts), ordered by key and then block, and returns
-    one value for each: booleans are packed to bits, other types as they are. A bucket holds an equal share of the
-    range of hashes; a frequent key occurs once per block in it.
+    ``keys_of`` makes a block's distinct sorted 64-bit keys, and a record of type ``counted`` for each if wanted; with
+    ``known``, replies of an earlier lookup, it gets those of the block too. ``answer`` gets all keys of a bucket
+    ordered by key and then block (and their records), and returns one value for each and a list of totals of the
+    bucket, which its first row carries. A bucket holds an equal share of the range of hashes; a frequent key occurs
+    once per block in it.
     """
 
-    def emit(table: pa.Table) -> pa.Table:
-        keys, counts = keys_of(table)
+    def alone(table: pa.Table) -> pa.Table:
+        return send(table)
+
+    def informed(table: pa.Table, replies: pa.Table) -> pa.Table:
+        return send(table, replies)
+
+    def send(table: pa.Table, *replies: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return pa.table([pa.array([], t) for t in (pa.int32(), pa.int32(), pa.binary(), pa.binary())], names=["bucket", "block", "keys", "counts"])
+        keys, counts = keys_of(table, *replies)
         edges = _edges(keys, buckets)
         full = np.flatnonzero(np.diff(edges))
         packed = [_pack_sorted(keys[edges[b] : edges[b + 1]]) for b in full]
-        sums = [b"" if counts is None else counts[edges[b] : edges[b + 1]].tobytes() for b in full]
+        sums = [b"" if counts is None else _planes(counts[edges[b] : edges[b + 1]]) for b in full]
         block = table.column("block")[0].as_py()
         return pa.table([pa.array(full, pa.int32()), pa.array([block] * len(full), pa.int32()), pa.array(packed, pa.binary()), pa.array(sums, pa.binary())], names=["bucket", "block", "keys", "counts"])
 
@@ -101,29 +125,29 @@ def key_lookup(
         parts = [_unpack_sorted(k) for k in table.column("keys").to_pylist()]
         sizes = [len(p) for p in parts]
         ids = table.column("block").to_numpy()
-        keys, blocks = np.concatenate(parts), np.repeat(ids, sizes)
+        keys = np.concatenate(parts)
         order = np.argsort(keys, kind="stable")
-        counts = b"".join(table.column("counts").to_pylist())
-        sums = np.frombuffer(counts, f"<u{len(counts) // len(keys)}")[order] if counts else None
-        values = answer(keys[order], blocks[order], sums)
+        sums = None
+        if counted is not None:
+            sums = np.concatenate([_from_planes(c, n, counted) for c, n in zip(table.column("counts").to_pylist(), sizes)])[order]
+        values, totals = answer(keys[order], sums)
         back = np.empty_like(values)
         back[order] = values
-        ends = np.cumsum(sizes)
-        packed = [(np.packbits(v) if v.dtype == bool else v).tobytes() for v in np.split(back, ends[:-1])]
-        return pa.table([pa.array(ids, pa.int32()), pa.array([table.column("bucket")[0].as_py()] * len(ids), pa.int32()), pa.array(packed, pa.binary())], names=["block", "bucket", "answers"])
+        packed = [_planes(v) for v in np.split(back, np.cumsum(sizes)[:-1])]
+        columns = [pa.array(ids, pa.int32()), pa.array([table.column("bucket")[0].as_py()] * len(ids), pa.int32()), pa.array(packed, pa.binary())]
+        return pa.table([*columns, pa.array([totals] + [[]] * (len(ids) - 1), pa.list_(pa.int64()))], names=["block", "bucket", "answers", "totals"])
 
-    sent = blocked.groupBy("block").applyInArrow(emit, "bucket int, block int, keys binary, counts binary")
-    return sent.groupBy("bucket").applyInArrow(meet, "block int, bucket int, answers binary")
+    schema = "bucket int, block int, keys binary, counts binary"
+    groups = blocked.groupBy("block")
+    sent = groups.applyInArrow(alone, schema) if known is None else groups.cogroup(known.groupBy("block")).applyInArrow(informed, schema)
+    return sent.groupBy("bucket").applyInArrow(meet, "block int, bucket int, answers binary, totals array<long>")
 
 
-def answers_of(keys: np.ndarray, replies: pa.Table, buckets: int, dtype: type) -> np.ndarray:
+def answers_of(keys: np.ndarray, replies: pa.Table, buckets: int, dtype: np.dtype) -> np.ndarray:
     """A block's answers in the order of its sorted keys."""
     edges = _edges(keys, buckets)
     out = np.zeros(len(keys), dtype=dtype)
     for bucket, packed in zip(replies.column("bucket").to_pylist(), replies.column("answers").to_pylist()):
         a, b = edges[bucket], edges[bucket + 1]
-        if dtype is bool:
-            out[a:b] = np.unpackbits(np.frombuffer(packed, np.uint8), count=b - a).astype(bool)
-        else:
-            out[a:b] = np.frombuffer(packed, dtype)
+        out[a:b] = _from_planes(packed, b - a, np.dtype(dtype))
     return out

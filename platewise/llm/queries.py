@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bpe, decontaminate, neardup, pii, quality, substring, syncmers, toxicity, url_rules
+from platewise.llm import bpe, decontaminate, lm_score, neardup, pii, quality, substring, syncmers, toxicity, url_rules
 from platewise.llm.registry import documents, query
 
 
@@ -91,6 +91,13 @@ def op7_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.find_leaks(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
 
 
+@query("op8_lm_score")
+def op8_lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Cross-entropy difference of every document between good documents and all."""
+    good = spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1 AND toxic = 0")
+    return lm_score.score(documents(spark, sf), good)
+
+
 @query("op9_pii")
 def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
     """Personal data in every document: counts and digest of the base spans, and the list of all spans."""

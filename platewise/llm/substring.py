@@ -110,10 +110,10 @@ def remove_repeats(docs: DataFrame, window: int = 13, key: str = "doc_id", text:
         block = _Windows(table, window)
         return (np.zeros(0, dtype=np.uint64) if block.loose else np.unique(block.keys)), None
 
-    def earlier(keys: np.ndarray, blocks: np.ndarray, counts: None) -> np.ndarray:
+    def earlier(keys: np.ndarray, counts: None) -> tuple[np.ndarray, list[int]]:
         out = np.zeros(len(keys), dtype=bool)
         out[1:] = keys[1:] == keys[:-1]
-        return out
+        return out, []
 
     def remove(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not table.num_rows:
