@@ -246,3 +246,15 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(scores, pa.float64())], ["key", "score"])
 
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema).withColumnRenamed("key", key)
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.7, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text scores below the threshold."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array([scorer.score(t or "") < threshold for t in batch.column(text).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
