@@ -3,8 +3,8 @@
 Texts are brought to templates: numbers, units after numbers, and names (capitalised words within a sentence) become
 typed placeholders, the rest is lowered and split at everything but letters and digits. Windows of template tokens are
 joined by hash between the benchmark and the documents, so that a question whose values were changed still matches.
-Where windows hold placeholders, the values are compared: over all matching windows of a document and an item, each
-value of the item has to stand for one value of the document. Windows that fail this are not counted.
+Where windows hold placeholders, the values are compared. Windows with the same values count; over all others of a
+document and an item, each value of the item has to stand for one value of the document, or none of them counts.
 """
 
 from __future__ import annotations
@@ -33,15 +33,19 @@ def template_tokens(text: Column) -> Column:
 
 
 def _type(token: Column) -> Column:
-    """The token's mark, or the token."""
-    typed = F.when(F.contains(token, F.lit(_NUMBER)), _NUMBER).when(F.contains(token, F.lit(_NAME)), _NAME)
-    return typed.when(F.contains(token, F.lit(_UNIT)), _UNIT).otherwise(token)
+    """The token with its value taken out; a token without a value is its own type."""
+    typed = F.when(F.contains(token, F.lit(_NUMBER)), F.translate(token, "0123456789", ""))
+    return typed.when(F.contains(token, F.lit(_NAME)), _NAME).when(F.contains(token, F.lit(_UNIT)), _UNIT).otherwise(token)
 
 
 def _has_mark(token: Column) -> Column:
     return token.rlike(f"[{_NUMBER}{_NAME}{_UNIT}]")
 
 
+def _literal(token: Column) -> Column:
+    return ~_has_mark(token) | (F.char_length(_type(token)) > 1)
+
+
 def window_hashes(tokens: Column) -> Column:
     """Hash of the types in each window of ``WINDOW`` tokens."""
     def run(h: Column) -> Column:
@@ -60,8 +64,9 @@ def _with_windows(rows: DataFrame) -> DataFrame:
 
 
 def _values(tokens: Column, start: Column) -> Column:
-    """Values of a window's placeholders, in order."""
-    return F.filter(F.slice(tokens, start + 1, WINDOW), _has_mark)
+    """Values of a window's placeholders, in order: the digits of a number, else the token."""
+    marked = F.filter(F.slice(tokens, start + 1, WINDOW), _has_mark)
+    return F.transform(marked, lambda t: F.when(F.contains(t, F.lit(_NUMBER)), F.regexp_replace(t, "[^0-9]", "")).otherwise(t))
 
 
 def find_leaks(
@@ -79,8 +84,8 @@ def find_leaks(
         _with_windows(items)
         .select("item", "tokens", F.posexplode_outer("windows").alias("at", "window"))
         .where("window IS NOT NULL")
+        .where(F.size(F.filter(F.slice("tokens", F.col("at") + 1, WINDOW), _literal)) >= LITERALS)
         .select("item", "at", "window", _values(F.col("tokens"), F.col("at")).alias("item_values"))
-        .where(F.size("item_values") <= WINDOW - LITERALS)
         .dropDuplicates(["item", "at", "window"])
     )
     sizes = known.groupBy("item").agg(F.count_distinct("window").alias("n_item"))
@@ -95,12 +100,14 @@ def find_leaks(
     slotted = hits.where(F.size("item_values") > 0).select("doc", "item", "window", "place", "item_values")
     # Values of the document: looked up again for the documents that matched with placeholders only.
     again = rows.join(slotted, "doc").withColumn("tokens", template_tokens(F.col("text")))
-    pairs = again.select(
-        "doc", "item", "window", F.explode_outer(F.arrays_zip("item_values", _values(F.col("tokens"), F.col("place")).alias("doc_values"))).alias("p")
-    ).select("doc", "item", "window", F.col("p.item_values").alias("a"), F.col("p.doc_values").alias("b"))
-    steady = pairs.groupBy("doc", "item", "a").agg(F.count_distinct("b").alias("kinds"))
-    broken = steady.where("kinds > 1").select("doc", "item").distinct()
-    sound = pairs.join(broken, ["doc", "item"], "left_anti").groupBy("doc", "item", "window").agg(F.count_distinct("a").cast("int").alias("n_values"))
+    valued = again.select("doc", "item", "window", "item_values", _values(F.col("tokens"), F.col("place")).alias("doc_values"))
+    pairs = valued.select(
+        "doc", "item", "window", (F.col("item_values") == F.col("doc_values")).alias("same"), F.explode_outer(F.arrays_zip("item_values", "doc_values")).alias("p")
+    ).select("doc", "item", "window", "same", F.col("p.item_values").alias("a"), F.col("p.doc_values").alias("b"))
+    steady = pairs.where(~F.col("same")).groupBy("doc", "item", "a").agg(F.count_distinct("b").alias("kinds"))
+    broken = steady.where("kinds > 1").select("doc", "item", F.lit(True).alias("broken")).distinct()
+    sound = pairs.join(broken, ["doc", "item"], "left").where(F.col("same") | F.col("broken").isNull())
+    sound = sound.groupBy("doc", "item", "window").agg(F.count_distinct("a").cast("int").alias("n_values"))
     found = plain.unionByName(sound).groupBy("doc", "item").agg(F.count_distinct("window").alias("n_windows"), F.sum("n_values").alias("n_values"))
     enough = found.join(sizes, "item").where(F.col("n_windows") >= F.least(F.col("n_item"), F.lit(LEAST_WINDOWS)))
     return enough.select(F.col("doc").alias(key), F.col("item").alias(item), "n_windows", "n_values")
