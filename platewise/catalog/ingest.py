@@ -29,7 +29,6 @@ from platewise.plans.feature_store import feature_list, features_with_split
 from platewise.session import new_path
 from platewise.sinks import tables as sinks
 from platewise.sources import lake
-from platewise.sources.design import design_categorical, design_continuous, with_hole_center
 from platewise.sources.files import dataset_fingerprint, file_checksums, file_inventory
 
 _COUNTS = "count(*) AS n, count(hole_radius_ratio) AS n_radius, count(geometry_type) AS n_geometry, min(traction_pa) AS min_traction, max(traction_pa) AS max_traction"
@@ -166,74 +165,6 @@ def checksum_reconcile(spark, sf):
     return reconcile_checksums(manifest, now)
 
 
-_U = lambda tag, slot: f"(('0x' || substr(sha256(o_orderkey || '|42|{tag}'), {1 + 13 * slot}, 13))::ubigint)::double / 4503599627370496e0"
-
-
-@query(
-    "doe_continuous",
-    f"""SELECT sha256(o_orderkey::varchar) AS simulation_id, 'custom' AS material_category, 'custom' AS dimension_category,
-    0.5e0 + ({_U('a', 0)}) * (2.2e0 - 0.5e0) AS length_m, 0.08e0 + ({_U('a', 1)}) * (0.6e0 - 0.08e0) AS height_m,
-    65e9 + ({_U('a', 2)}) * (230e9 - 65e9) AS young_modulus_pa, 0.27e0 + ({_U('a', 3)}) * (0.35e0 - 0.27e0) AS poisson_ratio,
-    2e5 + ({_U('b', 0)}) * (22e5 - 2e5) AS traction_pa, 0.05e0 + ({_U('b', 1)}) * (0.3e0 - 0.05e0) AS hole_radius_ratio,
-    120 AS mesh_nx, 24 AS mesh_ny FROM orders""",
-)
-def doe_continuous(spark, sf):
-    ranges = {
-        "length_m": (0.5, 2.2),
-        "height_m": (0.08, 0.6),
-        "young_modulus_pa": (65e9, 230e9),
-        "poisson_ratio": (0.27, 0.35),
-        "traction_pa": (2e5, 22e5),
-        "hole_radius_ratio": (0.05, 0.3),
-    }
-    return design_continuous(table(spark, sf, "orders"), "o_orderkey", ranges)
-
-
-def _between(u: str, category: str, ranges: dict) -> str:
-    lo = " ".join(f"WHEN '{k}' THEN {v[0]!r}::double" for k, v in ranges.items())
-    hi = " ".join(f"WHEN '{k}' THEN {v[1]!r}::double" for k, v in ranges.items())
-    return f"(CASE {category} {lo} END) + {u} * ((CASE {category} {hi} END) - (CASE {category} {lo} END))"
-
-
-def _doe_sql() -> str:
-    from platewise.constants import DIMENSION_RANGES as D
-    from platewise.constants import MATERIAL_RANGES as M
-
-    prop = lambda table_, name: {k: v[name] for k, v in table_.items()}
-    us = ", ".join(f"{_U('a' if i < 4 else 'b', i % 4)} AS u{i}" for i in range(8))
-    return f"""WITH draws AS (SELECT sha256(o_orderkey::varchar) AS simulation_id, {us} FROM orders),
-    classes AS (SELECT *, CASE WHEN u0 < 0.5e0 THEN 'steel' WHEN u0 < 0.5e0 + 0.35e0 THEN 'aluminum' ELSE 'titanium' END AS material_category,
-      CASE WHEN u1 < 0.3e0 THEN 'small' WHEN u1 < 0.3e0 + 0.5e0 THEN 'medium' ELSE 'large' END AS dimension_category FROM draws),
-    doe AS (SELECT simulation_id, material_category, dimension_category,
-      {_between('u2', 'dimension_category', prop(D, 'length_m'))} AS length_m,
-      {_between('u3', 'dimension_category', prop(D, 'height_m'))} AS height_m,
-      {_between('u4', 'material_category', prop(M, 'young_modulus_pa'))} AS young_modulus_pa,
-      {_between('u5', 'material_category', prop(M, 'poisson_ratio'))} AS poisson_ratio,
-      {_between('u6', 'material_category', prop(M, 'traction_pa'))} AS traction_pa,
-      0.05e0 + u7 * (0.3e0 - 0.05e0) AS hole_radius_ratio, 120 AS mesh_nx, 24 AS mesh_ny FROM classes)"""
-
-
-@query("doe_categorical", _doe_sql() + " SELECT * FROM doe")
-def doe_categorical(spark, sf):
-    return design_categorical(table(spark, sf, "orders"), "o_orderkey")
-
-
-@query(
-    "doe_moving_hole",
-    _doe_sql()
-    + """, margins AS (SELECT *, hole_radius_ratio * least(length_m, height_m) / length_m AS mx, hole_radius_ratio * least(length_m, height_m) / height_m AS my,
-    (('0x' || substr(sha256(simulation_id || '|42|center'), 1, 13))::ubigint)::double / 4503599627370496e0 AS ux,
-    (('0x' || substr(sha256(simulation_id || '|42|center'), 14, 13))::ubigint)::double / 4503599627370496e0 AS uy FROM doe)
-    SELECT simulation_id, hole_radius_ratio,
-    CASE WHEN greatest(0.2e0, mx) >= least(0.8e0, 1e0 - mx) THEN 0.5e0 ELSE greatest(0.2e0, mx) + ux * (least(0.8e0, 1e0 - mx) - greatest(0.2e0, mx)) END AS hole_cx_ratio,
-    CASE WHEN greatest(0.2e0, my) >= least(0.8e0, 1e0 - my) THEN 0.5e0 ELSE greatest(0.2e0, my) + uy * (least(0.8e0, 1e0 - my) - greatest(0.2e0, my)) END AS hole_cy_ratio
-    FROM margins""",
-)
-def doe_moving_hole(spark, sf):
-    rows = with_hole_center(design_categorical(table(spark, sf, "orders"), "o_orderkey"))
-    return rows.select("simulation_id", "hole_radius_ratio", "hole_cx_ratio", "hole_cy_ratio")
-
-
 # --- cleaning -------------------------------------------------------------------------------------
 @query(
     "cast_timestamp",
@@ -513,33 +444,32 @@ def rows_by_source(spark, sf):
     return eda.rows_by_source(warehouse(spark, sf))
 
 
-@query("source_stats", f"{WAREHOUSE} {eda.SOURCE_STATS.format(warehouse='clean')}")
+@query(
+    "source_stats",
+    f"""{WAREHOUSE}, grouped AS (SELECT source, count(*) AS n, avg(max_von_mises_pa) AS vm, max(max_von_mises_pa) AS top, avg(max_displacement_m) AS d
+    FROM clean GROUP BY source) SELECT source, n AS n_simulations, round(vm, 2) AS mean_von_mises_pa, round(top, 2) AS max_von_mises_pa,
+    round(d, 8) AS mean_displacement_m FROM grouped""",
+)
 def source_stats(spark, sf):
-    view = lake.register_view(warehouse(spark, sf), "warehouse")
-    return view.sparkSession.sql(eda.SOURCE_STATS.format(warehouse="warehouse"))
+    lake.register_view(warehouse(spark, sf), "warehouse")
+    return eda.group_report(spark.table("warehouse"), eda.STRESS_AND_DISPLACEMENT, "n_simulations")
 
 
-@query("source_dispersion", f"{WAREHOUSE} {eda.SOURCE_DISPERSION.format(warehouse='clean')}")
+@query(
+    "source_dispersion",
+    f"""{WAREHOUSE}, listed AS (SELECT source, list(max_von_mises_pa) AS vm FROM clean GROUP BY source)
+    SELECT source, round(list_min(vm), 2) AS min_von_mises_pa, round(list_max(vm), 2) AS max_von_mises_pa,
+    round(list_aggregate(vm, 'stddev_samp'), 2) AS std_von_mises_pa FROM listed""",
+)
 def source_dispersion(spark, sf):
-    return eda.warehouse_report(warehouse(spark, sf), eda.SOURCE_DISPERSION)
-
-
-@query("source_stats_eda", f"{WAREHOUSE} {eda.SOURCE_STATS_BY_STRESS.format(warehouse='clean')}")
-def source_stats_eda(spark, sf):
-    return eda.warehouse_report(warehouse(spark, sf), eda.SOURCE_STATS_BY_STRESS)
+    return eda.group_report(warehouse(spark, sf), eda.STRESS_RANGE, "std_von_mises_pa")
 
 
 @query(
-    "feature_columns",
-    "SELECT * FROM (VALUES "
-    + ", ".join(f"({i}, '{n}')" for i, n in enumerate([
-        "material_category", "dimension_category", "length_m", "height_m", "young_modulus_pa", "poisson_ratio", "traction_pa",
-        "geometry_type", "hole_radius_ratio", "hole_cx_ratio", "hole_cy_ratio", "has_hole", "has_moving_hole", "area_m2",
-        "aspect_ratio", "radius_abs", "d_over_W", "Kt_theory", "net_section_ratio", "sigma_net", "stress_amp_proxy", "epsilon",
-        "delta_theory", "biaxial_factor", "traction_over_E", "lig_left", "lig_right", "lig_bottom", "lig_top", "eccentricity_x",
-        "eccentricity_y", "lig_min", "eccentricity", "edge_ratio", "logE", "logS", "log_epsilon", "log_delta_th", "log_sigma_net",
-        "log_Kt", "log_lig_min", "log_edge_ratio"]))
-    + ") AS t(position, feature)",
+    "source_stats_eda",
+    f"""{WAREHOUSE} SELECT DISTINCT source, count(*) OVER g AS n_simulations, round(avg(max_von_mises_pa) OVER g, 2) AS mean_von_mises_pa,
+    round(stddev_samp(max_von_mises_pa) OVER g, 2) AS std_von_mises_pa, round(avg(max_displacement_m) OVER g, 8) AS mean_displacement_m
+    FROM clean WINDOW g AS (PARTITION BY source)""",
 )
-def feature_column_list(spark, sf):
-    return feature_list(features_with_split(plates(spark, sf)), training=True)
+def source_stats_eda(spark, sf):
+    return eda.group_report(warehouse(spark, sf), eda.STRESS_SPREAD, "mean_von_mises_pa")

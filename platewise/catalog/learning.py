@@ -59,7 +59,7 @@ def evaluate_batch(spark, sf):
 @query("predict_batch")
 def predict_batch(spark, sf):
     cases = _request_rows(spark, sf).withColumnRenamed("k", "case_kind").drop("max_displacement_m", "max_von_mises_pa")
-    return regress.predict_cases(plate_model(spark, sf), cases)
+    return regress.predict_cases(plate_model(spark, sf), cases).withColumn("reasons", F.array_join("reasons", ","))
 
 
 @query("feature_importance")
@@ -103,7 +103,7 @@ def stream_predict(spark, sf):
     cases = _request_rows(spark, sf).withColumnRenamed("k", "case_kind").drop("max_displacement_m", "max_von_mises_pa")
     cases.write.parquet(lake)
     jobs.drain(jobs.stream_predict(plate_model(spark, sf), stream_parquet(spark, lake, cases.schema)), out, new_path(spark, "state"))
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).withColumn("reasons", F.array_join("reasons", ","))
 
 
 # --- fields as vectors ---------------------------------------------------------------------------------------

@@ -245,20 +245,14 @@ def stream_alerts(spark, sf):
     return starts(spark.read.parquet(out).withColumn("firing", F.col("firing").cast("int")))
 
 
-@query(
-    "stream_ingest",
-    f"""{WAREHOUSE} SELECT DISTINCT sha256(simulation_id) AS simulation_id FROM plates p WHERE
-    simulation_id NOT IN (SELECT simulation_id FROM plates WHERE max_displacement_m IS NULL)""",
-)
+@query("stream_ingest", f"{WAREHOUSE} SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, * EXCLUDE (ts) FROM clean")
 def stream_ingest(spark, sf):
-    # Ids are complete in all their copies or in none, so whichever copy wins the result has the same ids.
+    """The batch cleaning's rows, all columns, from a stream of raw files."""
     lake, out = new_path(spark, "raw"), new_path(spark, "stream")
     rows = plates(spark, sf).withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss"))
     rows.write.parquet(lake)
-    raw = stream_parquet(spark, lake, rows.schema)
-    # The test dates span years; the watermark has to cover them for every duplicate to be seen.
-    jobs.drain(jobs.stream_clean(raw, "4000 days"), out, new_path(spark, "state"))
-    return spark.read.parquet(out).select("simulation_id")
+    jobs.drain(jobs.stream_clean(stream_parquet(spark, lake, rows.schema)), out, new_path(spark, "state"))
+    return jobs.newest_complete(spark.read.parquet(out)).withColumn("ts", stamp("timestamp")).drop("timestamp")
 
 
 @query("stream_late")

@@ -139,48 +139,6 @@ def extrapolation_flag(spark, sf):
     return physics.extrapolation_flag(stored_plates(spark, sf)).select("simulation_id", "trained_max_mpa", "is_extrapolated")
 
 
-_PF = "(1e0 / greatest(1e0 - poisson_ratio * poisson_ratio, 1e-6))"
-_MF = "(1e0 + 20e0 / greatest(mesh_nx + mesh_ny, 1)::double)"
-_RAD = "(hole_radius_ratio * least(length_m, height_m))"
-_CONC = f"(1e0 + 2e0 * least(2e0 * {_RAD} / greatest(height_m, 1e-12), 0.95e0))"
-
-
-def _elong(net: str) -> str:
-    return f"traction_pa * (length_m * length_m) / (young_modulus_pa * greatest({net}, 1e-12))"
-
-
-@query(
-    "proxy_plain",
-    f"""WITH {PLATES} SELECT simulation_id, {_elong('height_m')} AS proxy_displacement_m, traction_pa * {_PF} * {_MF} AS proxy_von_mises_pa
-    FROM plates WHERE source = 'sim_v1_without_hole'""",
-)
-def proxy_plain(spark, sf):
-    rows = physics.proxy_plain(stored_plates(spark, sf).filter("source = 'sim_v1_without_hole'"))
-    return rows.select("simulation_id", "proxy_displacement_m", "proxy_von_mises_pa")
-
-
-@query(
-    "proxy_hole",
-    f"""WITH {PLATES} SELECT simulation_id, {_elong(f'height_m - 2e0 * {_RAD}')} AS proxy_displacement_m,
-    traction_pa * {_PF} * {_MF} * {_CONC} AS proxy_von_mises_pa FROM plates WHERE hole_radius_ratio IS NOT NULL""",
-)
-def proxy_hole(spark, sf):
-    rows = physics.proxy_hole(stored_plates(spark, sf).filter("hole_radius_ratio IS NOT NULL"))
-    return rows.select("simulation_id", "proxy_displacement_m", "proxy_von_mises_pa")
-
-
-@query(
-    "proxy_moving",
-    f"""WITH {PLATES}, placed AS (SELECT *, {_RAD} AS radius, hole_cx_ratio * length_m AS cx, hole_cy_ratio * height_m AS cy FROM plates),
-    inside AS (SELECT *, greatest(least(cx - radius, length_m - (cx + radius), cy - radius, height_m - (cy + radius)), 1e-12) AS edge FROM placed
-      WHERE radius > 0 AND radius < 0.5e0 * least(length_m, height_m) AND radius < cx AND cx < length_m - radius AND radius < cy AND cy < height_m - radius)
-    SELECT simulation_id, {_elong('height_m - 2e0 * radius')} AS proxy_displacement_m,
-    traction_pa * {_PF} * {_MF} * {_CONC} * (1e0 + 0.35e0 * least(radius / edge, 2e0)) AS proxy_von_mises_pa FROM inside""",
-)
-def proxy_moving(spark, sf):
-    return physics.proxy_moving(stored_plates(spark, sf)).select("simulation_id", "proxy_displacement_m", "proxy_von_mises_pa")
-
-
 # --- splits ---------------------------------------------------------------------------------------------
 @query("stable_bucket", f"WITH {PLATES} SELECT simulation_id, {bucket_sql('simulation_id')} AS bucket FROM plates")
 def bucket(spark, sf):

@@ -92,7 +92,7 @@ FIELD_EDGE_BASE = 0.65
 FIELD_EDGE_STEP = 0.09
 FIELD_RADIUS_FLOOR = 1e-9
 
-# --- sampling ranges of the simulated design ------------------------------------------------------
+# --- ranges of the material and size classes ------------------------------------------------------
 MATERIAL_RANGES = {
     "steel": {"young_modulus_pa": (190e9, 230e9), "poisson_ratio": (0.27, 0.31), "traction_pa": (0.5e6, 2.2e6)},
     "aluminum": {"young_modulus_pa": (65e9, 78e9), "poisson_ratio": (0.31, 0.35), "traction_pa": (0.2e6, 1.2e6)},
@@ -103,8 +103,6 @@ DIMENSION_RANGES = {
     "medium": {"length_m": (0.9, 1.4), "height_m": (0.15, 0.30)},
     "large": {"length_m": (1.4, 2.2), "height_m": (0.25, 0.60)},
 }
-MATERIAL_WEIGHTS = {"steel": 0.5, "aluminum": 0.35, "titanium": 0.15}
-DIMENSION_WEIGHTS = {"small": 0.3, "medium": 0.5, "large": 0.2}
 CHUNK_ROWS = 5000
 # Parameter sweeps: (low, high, points). The modulus sweep takes its ends from the material.
 SWEEP_RANGES = {

@@ -15,7 +15,13 @@ def number(c: Column) -> Column:
 
 
 def clip(c: Column, lower: float | None = None, upper: float | None = None) -> Column:
-    """Bound a column but keep its nulls (``greatest``/``least`` alone would replace them).
+    """Bound a double column but keep its nulls and NaN (``greatest``/``least`` alone would replace them)."""
+    bounded = bound(c, lower, upper)
+    return bounded if upper is None else F.when(F.isnan(c), c).otherwise(bounded)  # NaN sorts above all numbers
+
+
+def bound(c: Column, lower: float | None = None, upper: float | None = None) -> Column:
+    """``clip`` for columns without NaN, which ``upper`` would replace.
 
     Written as CASE, which compiles to half the byte code: a generated method above 8,000 bytes is never
     compiled by the JVM, and the feature projection has twenty of these.
@@ -29,7 +35,7 @@ def clip(c: Column, lower: float | None = None, upper: float | None = None) -> C
 
 
 def log10_floor(c: Column, floor: float) -> Column:
-    return F.log10(clip(c, lower=floor))
+    return F.log10(bound(c, lower=floor))
 
 
 def polynomial(c: Column, coefficients: Sequence[float]) -> Column:

@@ -21,6 +21,7 @@ from platewise.operators.metrics import r2, regression_metrics, rmse
 from platewise.operators.physics import denormalize, log_targets, normalizer
 from platewise.operators.ranking import encode_ordinal, vocabulary_index
 from platewise.operators.requests import accepted, validate_requests
+from platewise.schema import nan_to_null
 
 # Default search and training parameters, and the ranges they are drawn from.
 DEFAULTS = {
@@ -75,7 +76,8 @@ def model_features(df: DataFrame) -> list[str]:
 
 
 def feature_nulls(df: DataFrame, features: list[str]) -> DataFrame:
-    """One row: nulls in the whole feature matrix."""
+    """One row: nulls and NaN in the whole feature matrix."""
+    df = nan_to_null(df)
     return df.agg(F.coalesce(F.sum(sum((F.col(c).isNull().cast("int") for c in features), F.lit(0))), F.lit(0)).alias("n_null"))
 
 
@@ -169,22 +171,28 @@ def evaluate(plate_model: PlateModel, store: DataFrame) -> DataFrame:
 
 
 def predict_cases(plate_model: PlateModel, cases: DataFrame) -> DataFrame:
-    """Raw cases to predictions: validate, engineer, encode, score, denormalise.
+    """One row per case: ``reasons`` (empty when accepted) and predictions, null for a refused case.
 
-    Refused cases are left out (see ``validate_requests``). Inputs and model version are echoed.
+    Accepted cases are engineered, encoded, scored and denormalised. Inputs and model version are echoed.
     """
-    rows = accepted(validate_requests(cases))
+    checked = validate_requests(cases)
+    rows = accepted(checked)
     if "timestamp" not in rows.columns:
         rows = rows.withColumn("timestamp", F.current_timestamp())
     echo = ["simulation_id", "geometry_type", "length_m", "height_m", "young_modulus_pa", "traction_pa", "hole_radius_ratio"]
     inputs = F.struct(*[F.col(c) for c in echo[1:]]).alias("input")
     scored = score(plate_model, engineer_features(rows.withColumn("_input", inputs), require_targets=False))
-    return scored.select(
+    version = F.lit(plate_model.version).alias("model_version")
+    answered = scored.select(
         "simulation_id",
-        F.lit(plate_model.version).alias("model_version"),
+        version,
         *[F.col(f"_input.{c}").alias(c) for c in echo[1:]],
+        F.array().cast("array<string>").alias("reasons"),
         *[F.col(f"predicted_{t}").alias(t) for t in plate_model.models],
     )
+    nothing = [F.lit(None).cast("double").alias(t) for t in plate_model.models]
+    refused = checked.filter(F.size("reasons") > 0).select("simulation_id", version, *echo[1:], "reasons", *nothing)
+    return answered.unionByName(refused)
 
 
 def feature_importance(plate_model: PlateModel, path: str) -> DataFrame:
@@ -292,11 +300,6 @@ def cv_search(
     return store.sparkSession.createDataFrame(table, "trial int, rmse double, params string").orderBy("rmse")
 
 
-def monotone_signs(features: list[str], spark: SparkSession) -> DataFrame:
-    """The sign each feature is allowed to move the prediction in; 0 for features without one."""
-    return spark.createDataFrame([(f, MONOTONE_SIGNS.get(f, 0)) for f in features], "feature string, sign int")
-
-
 def monotone_check(plate_model: PlateModel, store: DataFrame, target: str, points: int = 12) -> DataFrame:
     """Sign violations per constrained feature.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from platewise.constants import CRITICAL_COLUMNS, HOLE_COLUMNS
 from platewise.functions.hashing import pseudonym
 from platewise.functions.numeric import number
-from platewise.schema import with_hole_columns
+from platewise.schema import nan_to_null, with_hole_columns
 
 
 def cast_timestamp(df: DataFrame, column: str = "timestamp") -> DataFrame:
@@ -43,11 +43,11 @@ def pseudonymize(df: DataFrame, column: str = "simulation_id") -> DataFrame:
 
 
 def clean(df: DataFrame) -> DataFrame:
-    """Cast, then one row per id, then drop incomplete rows, then hash ids.
+    """NaN to null, cast, then one row per id, then drop incomplete rows, then hash ids.
 
     The order matters: an id whose latest copy is incomplete is lost even if an older copy was complete.
     """
-    return df.transform(cast_timestamp).transform(latest_per_key).transform(drop_null_critical).transform(pseudonymize)
+    return df.transform(nan_to_null).transform(cast_timestamp).transform(latest_per_key).transform(drop_null_critical).transform(pseudonymize)
 
 
 def upsert_latest(target: DataFrame, changes: DataFrame, key: str = "simulation_id") -> DataFrame:
@@ -56,7 +56,7 @@ def upsert_latest(target: DataFrame, changes: DataFrame, key: str = "simulation_
 
 
 def coerce_optional(df: DataFrame) -> DataFrame:
-    """Optional columns present, numeric (bad values null) and trimmed."""
+    """Optional columns present, numeric (bad values and NaN null) and trimmed."""
     full = with_hole_columns(df)
     return full.withColumns(
         {c: number(F.col(c)) for c in HOLE_COLUMNS} | {"geometry_type": F.trim(F.col("geometry_type").cast("string"))}

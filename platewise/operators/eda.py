@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,31 +19,38 @@ def rows_by_source(df: DataFrame) -> DataFrame:
     return df.groupBy("source").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "source")
 
 
-# The three warehouse reports are plain SQL over a view, as an analyst would write them.
-SOURCE_STATS = """
-SELECT source, count(*) AS n_simulations,
-       round(avg(max_von_mises_pa), 2) AS mean_von_mises_pa,
-       round(max(max_von_mises_pa), 2) AS max_von_mises_pa,
-       round(avg(max_displacement_m), 8) AS mean_displacement_m
-FROM {warehouse} GROUP BY source ORDER BY n_simulations DESC
-"""
-SOURCE_DISPERSION = """
-SELECT source, round(min(max_von_mises_pa), 2) AS min_von_mises_pa,
-       round(max(max_von_mises_pa), 2) AS max_von_mises_pa,
-       round(stddev(max_von_mises_pa), 2) AS std_von_mises_pa
-FROM {warehouse} GROUP BY source ORDER BY std_von_mises_pa DESC
-"""
-SOURCE_STATS_BY_STRESS = """
-SELECT source, count(*) AS n_simulations,
-       round(avg(max_von_mises_pa), 2) AS mean_von_mises_pa,
-       round(stddev(max_von_mises_pa), 2) AS std_von_mises_pa,
-       round(avg(max_displacement_m), 8) AS mean_displacement_m
-FROM {warehouse} GROUP BY source ORDER BY mean_von_mises_pa DESC
-"""
-
-
-def warehouse_report(df: DataFrame, sql: str) -> DataFrame:
-    return df.sparkSession.sql(sql, warehouse=df)
+class Measure(NamedTuple):
+    """A statistic of a column, rounded."""
+
+    statistic: Callable[[str], Column]
+    column: str
+    digits: int
+
+
+# What the warehouse reports show of each group.
+STRESS_AND_DISPLACEMENT = {
+    "n_simulations": Measure(F.count, "*", 0),
+    "mean_von_mises_pa": Measure(F.avg, "max_von_mises_pa", 2),
+    "max_von_mises_pa": Measure(F.max, "max_von_mises_pa", 2),
+    "mean_displacement_m": Measure(F.avg, "max_displacement_m", 8),
+}
+STRESS_RANGE = {
+    "min_von_mises_pa": Measure(F.min, "max_von_mises_pa", 2),
+    "max_von_mises_pa": Measure(F.max, "max_von_mises_pa", 2),
+    "std_von_mises_pa": Measure(F.stddev, "max_von_mises_pa", 2),
+}
+STRESS_SPREAD = {
+    "n_simulations": Measure(F.count, "*", 0),
+    "mean_von_mises_pa": Measure(F.avg, "max_von_mises_pa", 2),
+    "std_von_mises_pa": Measure(F.stddev, "max_von_mises_pa", 2),
+    "mean_displacement_m": Measure(F.avg, "max_displacement_m", 8),
+}
+
+
+def group_report(df: DataFrame, measures: Mapping[str, Measure], order: str, by: str = "source") -> DataFrame:
+    """One row per group with the given measures, greatest ``order`` first; ties go by the group."""
+    columns = [F.round(m.statistic(m.column), m.digits).alias(name) for name, m in measures.items()]
+    return df.groupBy(by).agg(*columns).orderBy(F.desc(order), by)
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:

@@ -21,7 +21,7 @@ from platewise.constants import (
     TARGETS,
     TRACTION_FLOOR,
 )
-from platewise.functions.numeric import clip, log10_floor, polynomial
+from platewise.functions.numeric import bound, log10_floor, polynomial
 from platewise.operators.clean import coerce_optional
 from platewise.operators.geometry import add_hole_flags, fill_hole_defaults, infer_geometry
 from platewise.schema import require_columns
@@ -40,17 +40,17 @@ def geometry_features(df: DataFrame) -> DataFrame:
             "aspect_ratio": length / (height + EPS),
             "radius_abs": F.col("hole_radius_ratio") * F.least(length, height),
         }
-    ).withColumn("d_over_W", clip(F.lit(2.0) * F.col("radius_abs") / (height + EPS), 0.0, MAX_D_OVER_W))
+    ).withColumn("d_over_W", bound(F.lit(2.0) * F.col("radius_abs") / (height + EPS), 0.0, MAX_D_OVER_W))
 
 
 def stress_features(df: DataFrame) -> DataFrame:
     """Needs the geometry features and the hole flag."""
-    with_hole = clip(polynomial(F.col("d_over_W"), KT_COEFFICIENTS), *KT_BOUNDS)
+    with_hole = bound(polynomial(F.col("d_over_W"), KT_COEFFICIENTS), *KT_BOUNDS)
     return (
         df.withColumns(
             {
                 "Kt_theory": F.when(F.col("has_hole") == 1, with_hole).otherwise(F.lit(1.0)),
-                "net_section_ratio": clip(F.lit(1.0) - F.col("d_over_W"), NET_SECTION_FLOOR, 1.0),
+                "net_section_ratio": bound(F.lit(1.0) - F.col("d_over_W"), NET_SECTION_FLOOR, 1.0),
             }
         )
         .withColumn("sigma_net", F.col("traction_pa") / (F.col("net_section_ratio") + EPS))
@@ -73,10 +73,10 @@ def ligament_features(df: DataFrame) -> DataFrame:
     """Material left around the hole. Radius and centre are subtracted as the plain ratios they are."""
     r, cx, cy = F.col("hole_radius_ratio"), F.col("hole_cx_ratio"), F.col("hole_cy_ratio")
     sides = {
-        "lig_left": clip(cx - r, lower=0.0),
-        "lig_right": clip(F.lit(1.0) - cx - r, lower=0.0),
-        "lig_bottom": clip(cy - r, lower=0.0),
-        "lig_top": clip(F.lit(1.0) - cy - r, lower=0.0),
+        "lig_left": bound(cx - r, lower=0.0),
+        "lig_right": bound(F.lit(1.0) - cx - r, lower=0.0),
+        "lig_bottom": bound(cy - r, lower=0.0),
+        "lig_top": bound(F.lit(1.0) - cy - r, lower=0.0),
         "eccentricity_x": F.abs(cx - 0.5),
         "eccentricity_y": F.abs(cy - 0.5),
     }

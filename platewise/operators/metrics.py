@@ -249,8 +249,3 @@ def error_rate(df: DataFrame, truth: str = "label", prediction: str = "predictio
     return df.agg(
         F.count_if(wrong).alias("n_errors"), F.count("*").alias("n"), (F.avg(wrong.cast("double")) * 100).alias("error_pct")
     )
-
-
-def first_errors(df: DataFrame, id_col: str, n: int = 8, truth: str = "label", prediction: str = "prediction") -> DataFrame:
-    """The first ``n`` misclassified rows by id (a distributed top-n)."""
-    return df.filter(F.col(truth) != F.col(prediction)).orderBy(id_col).limit(n)

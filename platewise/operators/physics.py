@@ -18,7 +18,6 @@ from platewise.constants import (
     YIELD_MPA,
 )
 from platewise.functions.numeric import clip, log10_floor, lookup, polynomial
-from platewise.operators.geometry import hole_inside_plate
 
 
 def normalizer(target: str) -> Column:
@@ -93,72 +92,3 @@ def extrapolation_flag(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {"trained_max_mpa": limit, "is_extrapolated": (F.col("traction_pa") / 1e6 > limit).cast("int")}
     )
-
-
-def _poisson_factor() -> Column:
-    nu = F.col("poisson_ratio")
-    return F.lit(1.0) / F.greatest(F.lit(1.0) - nu * nu, F.lit(1e-6))
-
-
-def _mesh_factor() -> Column:
-    cells = F.greatest(F.col("mesh_nx") + F.col("mesh_ny"), F.lit(1)).cast("double")
-    return F.lit(1.0) + F.lit(20.0) / cells
-
-
-def _elongation(net_height: Column) -> Column:
-    length = F.col("length_m")
-    return F.col("traction_pa") * (length * length) / (F.col("young_modulus_pa") * F.greatest(net_height, F.lit(EPS)))
-
-
-def _radius() -> Column:
-    return F.col("hole_radius_ratio") * F.least("length_m", "height_m")
-
-
-def _concentration() -> Column:
-    share = F.lit(2.0) * _radius() / F.greatest(F.col("height_m"), F.lit(EPS))
-    return F.lit(1.0) + F.lit(2.0) * F.least(share, F.lit(MAX_D_OVER_W))
-
-
-def proxy_plain(df: DataFrame) -> DataFrame:
-    """Closed-form response of a plate without a hole."""
-    return df.withColumns(
-        {
-            "proxy_displacement_m": _elongation(F.col("height_m")),
-            "proxy_von_mises_pa": F.col("traction_pa") * _poisson_factor() * _mesh_factor(),
-        }
-    )
-
-
-def proxy_hole(df: DataFrame) -> DataFrame:
-    """Closed-form response with a centred hole."""
-    return df.withColumns(
-        {
-            "proxy_displacement_m": _elongation(F.col("height_m") - F.lit(2.0) * _radius()),
-            "proxy_von_mises_pa": F.col("traction_pa") * _poisson_factor() * _mesh_factor() * _concentration(),
-        }
-    )
-
-
-def proxy_moving(df: DataFrame) -> DataFrame:
-    """Closed-form response with a hole anywhere inside; rows whose hole leaves the plate are left out."""
-    length, height, radius = F.col("length_m"), F.col("height_m"), F.col("_radius")
-    cx, cy = F.col("hole_cx_ratio") * length, F.col("hole_cy_ratio") * height
-    edge = F.greatest(
-        F.least(cx - radius, length - (cx + radius), cy - radius, height - (cy + radius)), F.lit(EPS)
-    )
-    edge_effect = F.lit(1.0) + F.lit(0.35) * F.least(radius / edge, F.lit(2.0))
-    return (
-        hole_inside_plate(df)
-        .withColumn("_radius", _radius())
-        .withColumns(
-            {
-                "proxy_displacement_m": _elongation(height - F.lit(2.0) * radius),
-                "proxy_von_mises_pa": F.col("traction_pa")
-                * _poisson_factor()
-                * _mesh_factor()
-                * _concentration()
-                * edge_effect,
-            }
-        )
-        .drop("_radius")
-    )

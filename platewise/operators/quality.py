@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from platewise.constants import CRITICAL_COLUMNS, GEOMETRY_TYPES, MOVING_HOLE, REQUIRED_COLUMNS, WITH_HOLE, WITHOUT_HOLE
 from platewise.operators.clean import coerce_optional
-from platewise.schema import require_columns
+from platewise.schema import nan_to_null, require_columns
 
 
 def _between(c: Column, low: float, high: float) -> Column:
@@ -55,14 +55,14 @@ def quality_rules() -> dict[str, Column]:
 def rule_violations(df: DataFrame) -> DataFrame:
     """``(rule, n_violations)`` for every rule, from one aggregate."""
     rules = quality_rules()
-    counts = coerce_optional(df).agg(*[F.count_if(~ok).alias(name) for name, ok in rules.items()])
+    counts = coerce_optional(nan_to_null(df)).agg(*[F.count_if(~ok).alias(name) for name, ok in rules.items()])
     return counts.unpivot([], list(rules), "rule", "n_violations")
 
 
 def rows_with_violations(df: DataFrame) -> DataFrame:
     """Rows that break a rule, with the names of the rules broken."""
     broken = F.array_compact(F.array(*[F.when(~ok, F.lit(name)) for name, ok in quality_rules().items()]))
-    return coerce_optional(df).withColumn("broken_rules", broken).filter(F.size("broken_rules") > 0)
+    return coerce_optional(nan_to_null(df)).withColumn("broken_rules", broken).filter(F.size("broken_rules") > 0)
 
 
 def assert_rules(df: DataFrame) -> None:
@@ -73,11 +73,12 @@ def assert_rules(df: DataFrame) -> None:
 
 
 def required_audit(df: DataFrame, key: str = "simulation_id") -> DataFrame:
-    """One row: total, rows with a null in a required column, surplus rows per key.
+    """One row: total, rows with a null or NaN in a required column, surplus rows per key.
 
     Keys are counted per key first, so a hot key is one partial count per task.
     """
     required = [c for c in REQUIRED_COLUMNS if c in df.columns]
+    df = nan_to_null(df)
     any_null = F.lit(False)
     for c in required:
         any_null = any_null | F.col(c).isNull()
@@ -111,7 +112,8 @@ def null_counts(df: DataFrame, columns: Sequence[str] = CRITICAL_COLUMNS) -> Dat
 
 
 def warehouse_quality(df: DataFrame) -> DataFrame:
-    """Rows, duplicates and critical nulls of the warehouse as one row, from one shuffle on the key."""
+    """Rows, duplicates and critical nulls (or NaN) of the warehouse as one row, from one shuffle on the key."""
+    df = nan_to_null(df)
     nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in CRITICAL_COLUMNS]
     per_key = df.groupBy("simulation_id").agg(F.count("*").alias("n"), *nulls)
     return per_key.agg(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platewise.constants import GEOMETRY_TYPES, MOVING_HOLE, WITH_HOLE, WITHOUT_HOLE
-from platewise.schema import REQUEST_SCHEMA
+from platewise.schema import REQUEST_SCHEMA, nan_to_null
 
 # Mesh used when a request leaves it out.
 DEFAULT_MESH = (120, 24)
@@ -15,7 +15,7 @@ DEFAULT_MESH = (120, 24)
 def parse_cases(df: DataFrame, json_column: str = "json") -> DataFrame:
     """JSON cases to typed request rows; text that is no JSON object gives nulls."""
     others = [c for c in df.columns if c != json_column]
-    return df.select(*others, F.from_json(json_column, REQUEST_SCHEMA).alias("_r")).select(*others, "_r.*")
+    return nan_to_null(df.select(*others, F.from_json(json_column, REQUEST_SCHEMA).alias("_r")).select(*others, "_r.*"))
 
 
 def _reasons() -> dict[str, Column]:
@@ -50,8 +50,8 @@ def _reasons() -> dict[str, Column]:
 
 
 def validate_requests(df: DataFrame) -> DataFrame:
-    """Add ``reasons`` (array, empty when accepted); fill the mesh and trim categories."""
-    filled = df.withColumns(
+    """Add ``reasons`` (array, empty when accepted); NaN is null; fill the mesh and trim categories."""
+    filled = nan_to_null(df).withColumns(
         {
             "mesh_nx": F.coalesce("mesh_nx", F.lit(DEFAULT_MESH[0])),
             "mesh_ny": F.coalesce("mesh_ny", F.lit(DEFAULT_MESH[1])),

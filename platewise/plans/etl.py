@@ -24,10 +24,6 @@ def run_etl(spark: SparkSession, raw_path: str, warehouse_path: str, raw_root: s
     return {"rows_read": before.get["n"], "rows_written": after.get["n"], **counts}
 
 
-def warehouse_report(spark: SparkSession, warehouse_path: str) -> DataFrame:
-    return rows_by_source(scan_table(spark, warehouse_path, ["source"]))
-
-
 def validate_folder(spark: SparkSession, path: str) -> DataFrame:
     """Check the contract of a folder (raises) and summarise it."""
     df = scan_prefer_parquet(spark, path)

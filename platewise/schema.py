@@ -62,6 +62,12 @@ def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
     return df
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN in floating columns becomes null: readers and checks know one kind of missing value."""
+    floats = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
+
+
 def conform(df: DataFrame, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     """Add absent columns as null, cast what is there (bad values become null) and put columns in order."""
     have = set(df.columns)

@@ -41,9 +41,11 @@ def object_store_conf(endpoint: str, access_key: str, secret_key: str, path_styl
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder ``spark.checkpoint.dir`` names; a local one is set only where that is unset."""
+    """The folder ``spark.checkpoint.dir`` names; with a local master, and only there, one is made where that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="platewise-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)

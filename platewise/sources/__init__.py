@@ -1 +1 @@
-"""Readers: raw lake, warehouse, files as data, design rows."""
+"""Readers: raw lake, warehouse, files as data."""

@@ -22,17 +22,6 @@ def file_inventory(df: DataFrame, raw_root: str | None = None) -> DataFrame:
     )
 
 
-def listed_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Path and size of the files below a folder, without reading their content."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .load(path)
-        .select("path", F.col("length").alias("n_bytes"), "modificationTime")
-    )
-
-
 def file_checksums(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """``(path, name, n_bytes, sha256)`` of every file. A file is hashed whole, by the task that reads it."""
     return (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from platewise.constants import METRIC_NAMES
-from platewise.schema import RAW_SCHEMA, conform
+from platewise.schema import RAW_SCHEMA, nan_to_null
 
 # Fixed value: the folder right below the raw root (a folder or bucket whose name starts with raw) names the source.
 SOURCE_PATTERN = r"[/\\]raw[^/\\]*[/\\]([^/\\]+)[/\\]"
@@ -29,11 +29,11 @@ def scan_raw(spark: SparkSession, raw_path: str, raw_root: str | None = None, pa
     reader = spark.read.option("mergeSchema", "true")
     if not partitioned:
         reader = reader.option("recursiveFileLookup", "true")
-        return reader.parquet(raw_path).withColumn("source", source_of_path(F.col("_metadata.file_path"), raw_root))
+        return nan_to_null(reader.parquet(raw_path).withColumn("source", source_of_path(F.col("_metadata.file_path"), raw_root)))
     folders = _source_folders(spark, raw_path)
     if not folders:
         raise FileNotFoundError(f"no source folders in {raw_path}")
-    return union_sources(*[reader.parquet(path).withColumn("source", F.lit(name)) for name, path in folders])
+    return nan_to_null(union_sources(*[reader.parquet(path).withColumn("source", F.lit(name)) for name, path in folders]))
 
 
 def _source_folders(spark: SparkSession, raw_path: str) -> list[tuple[str, str]]:
@@ -61,20 +61,11 @@ def _has_files(spark: SparkSession, path: str, suffix: str) -> bool:
 def scan_prefer_parquet(spark: SparkSession, path: str, csv_schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     """Parquet files of a folder; CSV files only when it holds no Parquet; an error when it holds neither."""
     if _has_files(spark, path, ".parquet"):
-        return (
-            spark.read.option("mergeSchema", "true")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet")
-            .parquet(path)
-        )
+        reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
+        return nan_to_null(reader.option("pathGlobFilter", "*.parquet").parquet(path))
     if _has_files(spark, path, ".csv"):
-        return (
-            spark.read.option("header", "true")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.csv")
-            .schema(csv_schema)
-            .csv(path)
-        )
+        reader = spark.read.option("header", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+        return nan_to_null(reader.schema(csv_schema).csv(path))
     raise FileNotFoundError(f"no parquet or csv files in {path}")
 
 
@@ -124,10 +115,6 @@ def scan_metrics(
     return out.filter(F.col("split") == split) if split else out
 
 
-def read_conformed(spark: SparkSession, path: str) -> DataFrame:
-    return conform(scan_prefer_parquet(spark, path))
-
-
 def is_folder(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

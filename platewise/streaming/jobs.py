@@ -10,12 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from platewise.models.regress import PlateModel, predict_cases
-from platewise.operators.clean import cast_timestamp, drop_null_critical, pseudonymize
+from platewise.operators.clean import cast_timestamp, drop_null_critical, latest_per_key, pseudonymize
 from platewise.operators.monitor import SERVER_ERROR, seconds_of
+from platewise.schema import nan_to_null
+
+
+# Batch reports that a finished query still has, so that what they count can be added up.
+KEPT_REPORTS = 20_000
 
 
 def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append"):
     """Process everything that is there now, then stop; a later call goes on where this one ended."""
+    stream.sparkSession.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(KEPT_REPORTS))
     query = (
         stream.writeStream.format("parquet")
         .outputMode(mode)
@@ -27,18 +33,18 @@ def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append"):
     return query
 
 
-def stream_clean(raw: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Streaming form of the cleaning job: first copy of an id within the watermark wins.
+def stream_clean(raw: DataFrame) -> DataFrame:
+    """Streaming form of the cleaning job: every copy, cast and with hashed ids, for an append-only log.
 
-    State holds ids seen within ``delay`` of event time, so it is bounded by the arrival rate.
+    It keeps no state. ``newest_complete`` reads the log as the batch job would clean it: which copy is newest is
+    decided over all of them, however late they come.
     """
-    return (
-        raw.transform(cast_timestamp)
-        .withWatermark("timestamp", delay)
-        .dropDuplicatesWithinWatermark(["simulation_id"])
-        .transform(drop_null_critical)
-        .transform(pseudonymize)
-    )
+    return raw.transform(nan_to_null).transform(cast_timestamp).transform(pseudonymize)
+
+
+def newest_complete(log: DataFrame) -> DataFrame:
+    """One row per id of an ingest log: the newest copy, if it is complete."""
+    return log.transform(latest_per_key).transform(drop_null_critical)
 
 
 def stream_predict(plate_model: PlateModel, cases: DataFrame) -> DataFrame:
@@ -118,5 +124,11 @@ def stream_held(windows: DataFrame, size: str, hold: str, limit: float) -> DataF
 
 
 def dropped_late(query) -> int:
-    """Rows the watermark dropped over all batches of a finished query."""
-    return sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
+    """Rows of state the watermark dropped over all batches of a finished query.
+
+    Raises when the query had more batches than it keeps reports of (``spark.sql.streaming.numRecentProgressUpdates``).
+    """
+    reports = query.recentProgress
+    if reports and reports[-1].batchId - reports[0].batchId + 1 >= KEPT_REPORTS:
+        raise ValueError(f"more than {KEPT_REPORTS} batches in one run: their dropped rows are not all known")
+    return sum(s.numRowsDroppedByWatermark for p in reports for s in p.stateOperators)

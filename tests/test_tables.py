@@ -2,6 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from platewise.functions.naming import decoded_log_displacement, decoded_log_stress, target_name
+from platewise.functions.numeric import clip
+from platewise.models.regress import feature_nulls
 from platewise.operators import quality
 from platewise.operators.clean import clean, latest_per_key
 from platewise.operators.integrity import make_manifest, manifest_lines, parse_manifest_lines, reconcile_checksums
@@ -233,3 +235,34 @@ def test_source_from_path(spark):
     df = spark.createDataFrame([(p,) for p in paths], "p string")
     assert [r[0] for r in df.select(source_of_path(F.col("p"))).collect()] == ["one", "two", ""]
     assert [r[0] for r in df.select(source_of_path(F.col("p"), "file:/lake")).collect()] == ["", "", "three"]
+
+
+NAN = float("nan")
+FLOATS = ["length_m", "height_m", "young_modulus_pa", "poisson_ratio", "traction_pa", "max_displacement_m", "max_von_mises_pa"]
+
+
+@pytest.mark.parametrize("column", FLOATS)
+def test_nan_breaks_each_rule_like_null(plate_rows, column):
+    df = plate_rows({column: NAN}, {})
+    broken = {r["rule"] for r in quality.rule_violations(df).filter("n_violations > 0").collect()}
+    assert broken == {column}
+    assert quality.required_audit(df).first()["n_null_rows"] == 1
+    assert quality.warehouse_quality(df).first()[f"null_{column}"] == 1
+    with pytest.raises(ValueError):
+        quality.validate_table(df)
+
+
+def test_nan_in_requests_features_and_clip(spark, plate_rows):
+    for column in FLOATS[:5]:
+        assert column in validate_requests(plate_rows({column: NAN})).first()["reasons"]
+    assert "radius_required" in validate_requests(plate_rows({"hole_radius_ratio": NAN})).first()["reasons"]
+    df = spark.createDataFrame([(NAN, 1.0), (None, NAN), (2.0, 3.0)], "a double, b double")
+    assert feature_nulls(df, ["a", "b"]).first()["n_null"] == 3
+    kept = [r[0] for r in df.select(clip(F.col("a"), 0.0, 1.0)).collect()]
+    assert kept[0] != kept[0] and kept[1:] == [None, 1.0]
+
+
+def test_nan_is_null_after_reading(spark, plate_rows, tmp_path):
+    plate_rows({"height_m": NAN}).write.parquet(f"{tmp_path}/raw/a/x")
+    assert scan_raw(spark, f"{tmp_path}/raw").first()["height_m"] is None
+    assert scan_prefer_parquet(spark, f"{tmp_path}/raw").first()["height_m"] is None
