@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from platewise.operators.sizing import small_side
 
 ACCURACY = 10_000
+# Equal parts of a bracket's range; each is sorted on its own.
+SLICES = 256
 
 
 def exact_quantiles(
@@ -20,7 +22,7 @@ def exact_quantiles(
     ``percentile`` keeps every distinct value of a group in one task. Here a first pass finds, with the
     fixed-size sketch of ``percentile_approx``, a bracket that must hold each quantile; a second pass
     counts the rows below each bracket and the distinct values inside. Only the bracketed values, about
-    ``20 / accuracy`` of a large group, are sorted. Small groups are bracketed whole. A quantile the
+    ``20 / accuracy`` of a large group, are sorted, in slices. Small groups are bracketed whole. A quantile the
     bracket missed would fail the job, not give a wrong number.
     """
     probs = sorted(probabilities)
@@ -67,13 +69,28 @@ def exact_quantiles(
     for i in range(len(probs)):
         segment = segment.when(v < F.col("lows")[i], 2 * i).when(v <= F.col("highs")[i], 2 * i + 1)
     segment = segment.otherwise(2 * len(probs))
+    # A bracket is cut into slices of its range, so that no task sorts all of its values: a value's rank is the number
+    # of rows in the slices before, from a table of one row per slice, and its place within the slice.
+    bracket = F.floor((F.col("_segment") - 1) / 2).cast("int")
+    low, width = F.get("lows", bracket), F.get("highs", bracket) - F.get("lows", bracket)
+    inside = F.least(F.floor((v - low) / width * SLICES), F.lit(SLICES - 1)).cast("int")
+    slice_ = F.when((F.col("_segment") % 2 == 1) & (width > 0), inside).otherwise(F.lit(0))
+    keys = [*by, "column"]
     counted = (
         placed.withColumn("_segment", segment)
-        .groupBy(*by, "column", "total", "_segment", F.when(F.col("_segment") % 2 == 1, v).alias("value"))
+        .withColumn("_slice", slice_)
+        .groupBy(*keys, "total", "_segment", "_slice", F.when(F.col("_segment") % 2 == 1, v).alias("value"))
         .agg(F.count("*").alias("n"))
     )
-    order = Window.partitionBy(*by, "column").orderBy("_segment", "value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("_upto", F.sum("n").over(order))
+    before = Window.partitionBy(*keys).orderBy("_segment", "_slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = counted.groupBy(*keys, "_segment", "_slice").agg(F.sum("n").alias("_rows"))
+    slices = slices.select(*keys, "_segment", "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    same = (F.col("c._segment") == F.col("s._segment")) & (F.col("c._slice") == F.col("s._slice"))
+    for c in keys:
+        same = same & F.col(f"c.{c}").eqNullSafe(F.col(f"s.{c}"))
+    order = Window.partitionBy(*keys, "_segment", "_slice").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.alias("c").join(slices.alias("s"), same).select("c.*", "s._before")
+    ranked = ranked.withColumn("_upto", F.col("_before") + F.sum("n").over(order))
 
     def at(rank: Column) -> Column:
         hit = (rank >= F.col("_upto") - F.col("n")) & (rank < F.col("_upto"))

@@ -266,3 +266,10 @@ def test_nan_is_null_after_reading(spark, plate_rows, tmp_path):
     plate_rows({"height_m": NAN}).write.parquet(f"{tmp_path}/raw/a/x")
     assert scan_raw(spark, f"{tmp_path}/raw").first()["height_m"] is None
     assert scan_prefer_parquet(spark, f"{tmp_path}/raw").first()["height_m"] is None
+
+
+def test_names_are_decoded_without_folder_and_extension(spark):
+    names = ["a/b_1/case_00001_V65000_D73617.png", "case_00001_V65000_D73617", r"c:\x\case_00001_V65000_D73617.npy", "case_00001.png"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = [tuple(r) for r in df.select(decoded_log_stress(F.col("n")), decoded_log_displacement(F.col("n"))).collect()]
+    assert got[0] == got[1] == got[2] and got[0][0] == 6.5 and got[3] == (None, None)
