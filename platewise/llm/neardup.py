@@ -1,14 +1,17 @@
 """Near-duplicate documents: b-bit MinHash signatures, a multi-index Hamming join, exact confirmation.
 
-A document's signature has 64 places of 16 bits, each from one MinHash of its shingle set. Two sets of likeness J
-differ in a place with probability 1 - J, so at J = 0.75 they differ in 31 places or fewer but once in 60,000 pairs.
-The join finds every pair of signatures within that distance: 16 chunks of four places share at most 31 differences,
-so one chunk has one or none (pigeonhole), and each chunk is indexed by its four keys that leave out one place, which
-enumerates the allowed error. Copies (equal shingle sets) are one class and are joined once.
+A document's signature has 128 places of 16 bits, each from one MinHash of its shingle set. Two sets of likeness J
+differ in a place with probability 1 - J, so at J = 0.75 they differ in 31 or fewer of the first 64 places, and in 53
+or fewer of all, but for about one in 25,000 pairs. The join finds every pair within the first distance: 16 chunks of
+four places share at most 31 differences, so one chunk has one or none (pigeonhole), and each chunk is indexed by its
+four keys that leave out one place, which enumerates the allowed error. The second distance then thins the candidates.
+Copies (equal shingle sets) are one class and are joined once.
 
 Components need no list of all pairs. In each index key the smallest class is linked with the others; the nearest of
-these candidates of each class is confirmed first, then those that still connect different components. At last, keys
-whose classes lie in several components get their remaining pairs across components compared, so that no link is lost.
+these candidates of each class is confirmed first, then those that still connect different components. Keys whose
+classes then still lie in several components are torn: classes tied by torn keys form a family, whose signatures are
+compared across components in blocks, so that no link is lost. This last step grows with the square of a family of
+classes that are alike but not linked; it makes no pairs, and stops comparing what is already connected.
 Every link is confirmed on the full shingle sets.
 """
 
@@ -24,7 +27,9 @@ from pyspark.sql import functions as F
 from platewise.llm.stored import components, stored
 from platewise.llm.text import mix, shingle_sets, slices, words_of
 
-PLACES, CHUNK, DISTANCE, SHINGLE = 64, 4, 31, 5
+PLACES, INDEXED, CHUNK, FIRST_DISTANCE, DISTANCE, SHINGLE = 128, 64, 4, 31, 53, 5
+# Classes of one family that a task compares with one another; larger families are dealt out by pairs of parts.
+_PART = 3000
 _rng = np.random.default_rng(31)
 _XOR = _rng.integers(0, 2**63, PLACES, dtype=np.uint64)
 _ODD = _rng.integers(0, 2**62, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -46,9 +51,9 @@ def _signatures(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def _index_keys(signatures: np.ndarray) -> np.ndarray:
     """For each signature, each chunk and each place left out of it, one key."""
-    terms = mix((signatures.astype(np.uint64) + np.uint64(1)) * _KEY)
+    terms = mix((signatures[:, :INDEXED].astype(np.uint64) + np.uint64(1)) * _KEY[:INDEXED])
     chunks = terms.reshape(len(signatures), -1, CHUNK)
-    places = np.arange(PLACES, dtype=np.uint64)
+    places = np.arange(INDEXED, dtype=np.uint64)
     return mix((chunks.sum(axis=2, dtype=np.uint64)[:, :, None] - chunks).reshape(len(signatures), -1) + places * _ODD[0])
 
 
@@ -116,9 +121,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-                common = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(100 * common >= 75 * (len(x) + len(y) - common))
+                keep.append(_linked(np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return rows.mapInArrow(run, "a long, b long")
@@ -138,6 +141,66 @@ def _shingle_table(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return docs.join(nodes, "node", "left_semi").mapInArrow(run, "node long, shingles binary")
 
 
+def _join_parts(table: pa.Table) -> pa.Table:
+    """Links across components between the classes of a part, or of two parts, of a family.
+
+    Classes are taken by size, so that only a range of them can be linked with each. Signatures are compared first,
+    one class against its range; sets only if the signatures are near and the components still apart.
+    """
+    order = [(n, "ascending") for n in ("family", "low", "high", "n_shingles", "node")]
+    table = table.sort_by(order)
+    family, low, high, part, node, c, n = (table.column(x).to_numpy() for x in ("family", "low", "high", "part", "node", "c", "n_shingles"))
+    marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), "<u2").reshape(-1, PLACES)
+    brief = np.ascontiguousarray(marks[:, :INDEXED].astype(np.uint8))
+    sets = [np.frombuffer(x, "<u8") for x in table.column("shingles").to_pylist()]
+    new = (np.diff(family) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0)
+    edges = np.concatenate(([0], np.flatnonzero(new) + 1, [len(family)]))
+    out = []
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        parent: dict[int, int] = {}
+
+        def root(x: int, parent: dict[int, int] = parent) -> int:
+            while (up := parent.get(x, x)) != x:
+                parent[x] = parent.get(up, up)
+                x = up
+            return x
+
+        starts = a + np.searchsorted(100 * n[a:b], 75 * n[a:b])
+        for i in range(a, b):
+            begin = int(starts[i - a])
+            fit = c[begin:i] != c[i]
+            if low[a] != high[a]:
+                fit &= part[begin:i] != part[i]
+            j = begin + np.flatnonzero(fit)
+            j = j[np.count_nonzero(brief[j] != brief[i], axis=1) <= FIRST_DISTANCE]
+            for k in j[np.count_nonzero(marks[j] != marks[i], axis=1) <= DISTANCE].tolist():
+                x, y = root(int(c[i])), root(int(c[k]))
+                if x != y and _linked(sets[i], sets[k]):
+                    parent[max(x, y)] = min(x, y)
+                    out.append((min(node[i], node[k]), max(node[i], node[k])))
+    found = np.array(out, dtype=np.int64).reshape(-1, 2)
+    return pa.table([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+
+
+def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= 75 * (len(x) + len(y) - common)
+
+
+def join_families(rows: DataFrame) -> DataFrame:
+    """Links ``a``, ``b`` that connect different components ``c`` of a ``family``; no pairs are made but links.
+
+    ``rows``: ``family``, ``node``, ``c``, ``n_shingles``, ``signature``, ``shingles``, and ``n``, the family's size. A
+    large family is dealt out in parts, every two of which meet in one task.
+    """
+    parts = F.ceil(F.col("n") / _PART).cast("int")
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    dealt = dealt.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
+    tasks = max(1, rows.count() // _PART)
+    dealt = dealt.withColumn("task", F.pmod(F.xxhash64("family", "low", "high"), F.lit(tasks)).cast("int"))
+    return dealt.drop("n", "other").groupBy("task").applyInArrow(_join_parts, "a long, b long")
+
+
 def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Columns ``node``, ``component`` of the classes that are linked with another. ``docs``: ``node``, ``text``."""
     index = index_rows(classes)
@@ -160,12 +223,13 @@ def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     known = stored(components(links), "components")
     # Keys whose classes are still apart: the pairs that no star had.
     labelled = shared.select("key", F.col("b").alias("node")).join(known, "node", "left").withColumn("c", F.coalesce("component", "node"))
-    torn = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("n")).where("low <> high AND n > 2")
-    torn_rows = stored(labelled.join(torn, "key").join(classes.select("node", "n_shingles"), "node").select("key", "node", "c", "n_shingles"), "torn")
-    left, right = torn_rows.toDF("key", "a", "c_a", "n_a"), torn_rows.toDF("key", "b", "c_b", "n_b")
-    pairs = left.join(right, "key").where("c_a < c_b AND 100 * least(n_a, n_b) >= 75 * greatest(n_a, n_b)")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(near, ["a", "b"], "left_anti")
-    links = links.unionByName(stored(_confirmed(_near(pairs, classes), sets), "links"))
+    torn = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("n"), F.min("node").alias("first"))
+    ties = labelled.join(torn.where("low <> high AND n > 2").select("key", "first"), "key").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
+    families = stored(components(ties).select("node", F.col("component").alias("family")), "families")
+    sizes = families.groupBy("family").agg(F.count("*").alias("n"))
+    rows = families.join(sizes, "family").join(classes.select("node", "n_shingles", "signature"), "node").join(sets, "node")
+    rows = rows.join(known, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+    links = links.unionByName(stored(join_families(stored(rows, "torn")), "links"))
     return components(links)
 
 

@@ -171,20 +171,36 @@ def test_index_finds_every_pair_within_the_first_distance():
     assert min(shared) > 0
 
 
-def test_comparison_across_components_finds_all_near_pairs(spark, monkeypatch):
+def test_families_are_joined_as_by_all_pairs(spark, monkeypatch):
     rng = np.random.default_rng(9)
-    monkeypatch.setattr(neardup, "_PART", 7)  # many parts for one key
-    base = rng.integers(0, 1 << 16, neardup.PLACES)
-    marks = []
-    for _ in range(40):
-        m = base.copy()
-        m[rng.choice(neardup.PLACES, int(rng.integers(10, 60)), replace=False)] = rng.integers(0, 1 << 16)
-        marks.append(m.astype("<u2"))
-    comp = [int(i % 5) for i in range(40)]
-    df = spark.createDataFrame([(1, i, comp[i], 100, bytearray(marks[i].tobytes()), 40) for i in range(40)], "key long, node long, c long, n_shingles long, signature binary, n long")
-    got = {tuple(r) for r in neardup._across(df).distinct().collect()}
-    want = {(i, j) for i in range(40) for j in range(i + 1, 40) if comp[i] != comp[j] and (marks[i] != marks[j]).sum() <= neardup.DISTANCE}
-    assert got == want and want
+    base = prose(77, 150).split()
+    rows = []
+    for i in range(60):  # likenesses around the threshold
+        words = list(base)
+        for k in rng.choice(len(words), int(rng.integers(0, 5)), replace=False):
+            words[k] = f"new{rng.integers(10**9)}"
+        rows.append((i, " ".join(words)))
+    hashes, first = neardup._sets([t.encode() for _, t in rows])
+    marks = neardup._signatures(hashes, first)
+    sets = [hashes[first[i] : first[i + 1]] for i in range(60)]
+    comp = [i % 7 for i in range(60)]
+    monkeypatch.setattr(neardup, "_PART", 9)  # many parts
+    df = spark.createDataFrame(
+        [(1, i, comp[i], len(sets[i]), bytearray(marks[i].tobytes()), bytearray(sets[i].tobytes()), 60) for i in range(60)],
+        "family long, node long, c long, n_shingles long, signature binary, shingles binary, n long",
+    )
+
+    def classes(links):
+        top = list(comp)
+        for a, b in links:
+            low, high = sorted((top[a], top[b]))
+            top = [low if t == high else t for t in top]
+        return top
+
+    want = [(i, j) for i in range(60) for j in range(i) if neardup._linked(sets[i], sets[j])]
+    got = [tuple(r) for r in neardup.join_families(df).collect()]
+    assert 0 < len(want) < 60 * 59 / 2 and {tuple(sorted(x)) for x in got} <= {tuple(sorted(x)) for x in want}
+    assert classes(got) == classes(want)
 
 
 def test_near_duplicates_empty_table(none):
