@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Bounds of the cache of encoded pre-tokens in a Python worker: entries, and length of a pre-token that is kept.
-_CACHE_ENTRIES = 300_000
+_CACHE_ENTRIES = 120_000
 _CACHE_LENGTH = 40
 _FIRST_CHARACTER = 0x100
 _CHARACTERS = {b: _FIRST_CHARACTER + b for b in range(256)}
