@@ -207,7 +207,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """Fit on at most ``TRAIN_DOCUMENTS`` documents and ``TRAIN_BYTES`` of text per class, the first by hash of the id.
 
     ``labels`` has the key and the label (0 or 1; other rows are left out). The sample's ids and sizes come to the
-    driver first, then its texts, so that what the driver holds is bounded whatever the lengths.
+    driver first, then its texts, so that what the driver holds is bounded whatever the lengths. A document that does
+    not fit what is left of the bytes is passed over, later ones are still taken. Raises if a class has labelled
+    documents and none of those drawn fits: a model without it would give all texts the same score.
     """
     # The sample is bounded, so its ids may be broadcast.
     marked = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), F.col(label).cast("int").alias("y"))
@@ -219,10 +221,13 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     sized = rows.select("doc_id", F.octet_length("text").alias("size")).join(F.broadcast(picked), "doc_id").orderBy(*order).collect()
     spent, chosen = {0: 0, 1: 0}, []
-    for r in sized:
-        spent[r.y] += r.size
-        if spent[r.y] <= TRAIN_BYTES:
+    for r in sized:  # a document that does not fit is passed over and costs nothing
+        if spent[r.y] + r.size <= TRAIN_BYTES:
+            spent[r.y] += r.size
             chosen.append((r.doc_id, r.y))
+    lost = {r.y for r in sized} - {y for _, y in chosen}
+    if lost:
+        raise ValueError(f"no training sample for label {sorted(lost)}: each of its documents drawn is above {TRAIN_BYTES} bytes")
     if not chosen:
         return fit([], np.zeros(0))
     frame = docs.sparkSession.createDataFrame(chosen, f"doc_id {labels.schema[key].dataType.simpleString()}, y int")

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from platewise.llm import bpe, decontaminate, lm_score, neardup, pii, quality, substring, syncmers, toxicity, url_rules
 from platewise.llm.text import words_of
@@ -245,6 +246,19 @@ def test_toxicity_shares_vectors_with_unseen_spellings(spark):
     assert scorer.score(clean + " blockheads") > scorer.score(clean)
 
 
+def test_toxicity_sample_passes_over_documents_that_do_not_fit(spark, monkeypatch):
+    docs, labels, toxic, _ = labelled(spark)
+    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 20_000)
+    first = docs.where("doc_id % 4 = 0").orderBy(F.xxhash64("doc_id"), "doc_id").first().doc_id
+    longer = F.when(F.col("doc_id") == first, F.repeat(F.concat("text", F.lit(" ")), 100)).otherwise(F.col("text"))
+    model = toxicity.train(docs.withColumn("text", longer), labels, label="toxic")
+    scorer = toxicity.Scorer(model)
+    assert scorer.score(prose(77, 40) + " blockhead nitwit dimwit") > 0.7 > 0.3 > scorer.score(prose(77, 40))
+    longer = F.when(F.col("doc_id") % 4 == 0, F.repeat(F.concat("text", F.lit(" ")), 100)).otherwise(F.col("text"))
+    with pytest.raises(ValueError, match="no training sample"):
+        toxicity.train(docs.withColumn("text", longer), labels, label="toxic")
+
+
 def test_classifiers_on_awkward_rows(docs, none, spark):
     labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(1, 15)], "doc_id long, toxic int, quality int")
     for module, name in ((toxicity, "toxic"), (quality, "quality")):
