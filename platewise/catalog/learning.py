@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platewise.catalog.base import query, rounded, table, warehouse
 from platewise.catalog.ingest import _request_rows
+from platewise.constants import TARGETS
 from platewise.models import regress, unsupervised
 from platewise.operators import fields
 from platewise.operators.clusters import core_points, dbscan, standard_scale
@@ -19,8 +20,8 @@ from platewise.session import new_path
 from platewise.sources.lake import stream_parquet
 from platewise.streaming import jobs
 
-# Smaller than the defaults, so that a check takes seconds.
-_QUICK = {"n_estimators": 12, "learning_rate": 0.3, "max_depth": 5, "max_bins": 32}
+# Draws of the parameter search, pixels a side, components and restarts of the field queries.
+TRIALS, SIZE, COMPONENTS, INITS = 60, 64, 50, 10
 _GEOMETRIES = ["with_hole", "with_hole_moving", "without_hole"]
 
 
@@ -37,7 +38,7 @@ def stored(spark, sf) -> DataFrame:
 
 @lru_cache(maxsize=4)
 def _plate_model_path(spark: SparkSession, sf: str) -> str:
-    fitted = regress.fit_plate_model(stored(spark, sf), version="v1", **_QUICK)
+    fitted = regress.fit_plate_model(stored(spark, sf), version="v1")
     return fitted.save(new_path(spark, "model"))
 
 
@@ -79,21 +80,24 @@ def monotone_check(spark, sf):
 
 @query("rf_baseline")
 def rf_baseline(spark, sf):
-    forest = regress.fit_plate_model(
-        stored(spark, sf), build=regress.forest, targets=("max_von_mises_pa",), numTrees=10, maxDepth=8
-    )
+    forest = regress.fit_plate_model(stored(spark, sf), build=regress.forest)
     return regress.evaluate(forest, stored(spark, sf))
 
 
+def _by_target(report) -> DataFrame:
+    """The report of every target, with its name."""
+    parts = [report(t).select(F.lit(t).alias("target"), "*") for t in TARGETS]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("cv_report")
 def cv_report(spark, sf):
-    return regress.cv_report(stored(spark, sf), "max_von_mises_pa", 5, **(_QUICK | {"n_estimators": 5}))
+    return _by_target(lambda target: regress.cv_report(stored(spark, sf), target))
 
 
 @query("cv_search")
 def cv_search(spark, sf):
-    space = {"learning_rate": (0.1, 0.4), "max_depth": (3, 5)}
-    return regress.cv_search(stored(spark, sf), "max_von_mises_pa", 2, 3, space, n_estimators=4, max_bins=32)
+    return _by_target(lambda target: regress.cv_search(stored(spark, sf), target, TRIALS)).orderBy("target", "rmse")
 
 
 @query("stream_predict")
@@ -107,22 +111,22 @@ def stream_predict(spark, sf):
 
 
 # --- fields as vectors ---------------------------------------------------------------------------------------
-def field_rows(spark, sf, size: int = 8) -> DataFrame:
+def field_rows(spark, sf, size: int = SIZE) -> DataFrame:
     rows = fields.scale_each(fields.field_vectors(stored(spark, sf), size))
     return unsupervised.as_vector(rows.select("simulation_id", "split", "geometry_type", "field"), "field")
 
 
 @query("pca_fields")
 def pca_fields(spark, sf):
-    model = unsupervised.fit_pca(field_rows(spark, sf), 20)
+    model = unsupervised.fit_pca(field_rows(spark, sf), COMPONENTS)
     return unsupervised.cumulative_variance(unsupervised.explained_variance(model, spark))
 
 
 @query("kmeans_elbow")
 def kmeans_elbow(spark, sf):
     rows = field_rows(spark, sf)
-    reduced = unsupervised.fit_pca(rows, 10).transform(rows).select(F.col("pca").alias("features"))
-    return unsupervised.kmeans_elbow(reduced)
+    reduced = unsupervised.fit_pca(rows, COMPONENTS).transform(rows).select(F.col("pca").alias("features"))
+    return unsupervised.kmeans_elbow(reduced, inits=INITS)
 
 
 @query("kmeans_geometry")
@@ -135,7 +139,7 @@ def kmeans_geometry(spark, sf):
 def field_classifier(spark, sf):
     label = F.array_position(F.array(*[F.lit(g) for g in _GEOMETRIES]), F.col("geometry_type")) - 1
     rows = field_rows(spark, sf).withColumn("label", label.cast("double"))
-    model = unsupervised.geometry_classifier(rows.filter("split = 'train'"), 3, 64, 16, 30)
+    model = unsupervised.geometry_classifier(rows.filter("split = 'train'"), 3, SIZE * SIZE)
     return class_report(model.transform(rows.filter("split = 'test'")).select("label", "prediction"))
 
 
