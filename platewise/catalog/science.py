@@ -773,7 +773,7 @@ def field_flip(spark, sf):
 @query("field_store")
 def field_store(spark, sf):
     path = new_path(spark, "fields")
-    write_field_set(features_with_split(warehouse(spark, sf)), path, 16, 200)
+    write_field_set(features_with_split(warehouse(spark, sf)), path)
     return spark.read.parquet(path).groupBy("split", "geometry_type").agg(
         F.count("*").alias("n"), F.max(F.array_max("field")).alias("peak"), F.min("name").alias("first_name")
     )
