@@ -4,8 +4,10 @@ Generators propose spans of four kinds: the base patterns, and looser forms with
 A base span that passes its check (parts of an address, Luhn digits, number of digits) is always a finding. Every
 candidate is described by its format and its surroundings; candidates of all documents are counted by that description,
 and the counts, a table bounded by the number of descriptions, train gradient-boosted trees on the driver. A candidate
-counts as positive if it is, or overlaps, a base span of its kind that passed. The trees become a column expression;
-scores are calibrated against the counts, and candidates above the kind's threshold are added.
+counts as positive if it is, or overlaps, a base span of its kind that passed, or if it passes its generator's own check.
+The trees become a column expression. Each generator has a threshold, calibrated on those of its candidates that could
+be added (neither base spans that passed nor overlapping one); valid ones above it are added. The checks of looser
+forms, but for Luhn, read what the description does not hold, so that few valid ones tell a format of something else.
 
 Patterns are written without repeated groups, which recurse in Java: a first replacement hides separators that cannot
 continue a match behind a character of the same length, so that one character class follows.
@@ -112,6 +114,16 @@ def _described(text: Column, number: int) -> Column:
             passed = F.char_length(digits).between(10, 15)
         else:
             passed = F.lit(True)
+        if g.base:
+            valid = passed
+        elif g.kind == "email":
+            valid = value.rlike("[A-Za-z]{2}$")
+        elif g.kind == "ip":  # groups of two at most are bytes of something else
+            valid = value.rlike("[0-9A-Fa-f]{3}")
+        elif g.kind == "card":
+            valid = luhn
+        else:  # area and exchange codes do not start with 0 or 1
+            valid = digits.rlike("^[2-9][0-9]{2}[2-9]")
         separators = F.size(F.array_distinct(F.split(F.regexp_replace(value, "[A-Za-z0-9]", ""), "")))
         features = [
             F.lit(number), F.least(F.char_length(digits), F.lit(20)), F.least(F.size(F.split(value, "[^0-9]++")), F.lit(8)),
@@ -119,12 +131,12 @@ def _described(text: Column, number: int) -> Column:
             _neighbour(F.substring(s["left"], F.lit(-1), F.lit(1))), _neighbour(s["right"]), s["left"].rlike(_CUES).cast("int"),
         ]
         return F.struct(
-            F.lit(KINDS.index(g.kind)).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), passed.alias("passed"),
+            F.lit(KINDS.index(g.kind)).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), passed.alias("passed"), valid.alias("valid"),
             *[f.cast("int").alias(n) for f, n in zip(features, FEATURES)],
         )
 
     found = F.transform(valued, describe)
-    empty = F.array().cast("array<struct<kind:int,start:int,end:int,passed:boolean," + ",".join(f"{n}:int" for n in FEATURES) + ">>")
+    empty = F.array().cast("array<struct<kind:int,start:int,end:int,passed:boolean,valid:boolean," + ",".join(f"{n}:int" for n in FEATURES) + ">>")
     likely = F.contains(text, F.lit("@")) if g.likely == "@" else text.rlike(g.likely)
     return F.when(likely, F.filter(found, lambda c: c["kind"].isNotNull())).otherwise(empty)
 
@@ -141,7 +153,7 @@ def _overlap(a: Column, b: Column) -> Column:
 
 
 class Model(NamedTuple):
-    """Trees as (feature, cut, then feature, cut and two leaves on either side), and a threshold per kind."""
+    """Trees as (feature, cut, then feature, cut and two leaves on either side), and a threshold per generator."""
 
     prior: float
     trees: list[tuple]
@@ -172,8 +184,12 @@ def _stump(x: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[float, int, int
     return best
 
 
-def fit(x: np.ndarray, kinds: np.ndarray, positive: np.ndarray, total: np.ndarray) -> Model:
-    """Boost trees of two levels on counted descriptions; thresholds reach ``PRECISION`` among them, by kind."""
+def fit(x: np.ndarray, generators: np.ndarray, positive: np.ndarray, total: np.ndarray, free: np.ndarray | None = None) -> Model:
+    """Boost trees of two levels on counted descriptions; thresholds reach ``PRECISION`` among them, by generator.
+
+    ``free``: how many positive ones, and how many in all, could be added; thresholds are taken over these.
+    """
+    free = np.stack([positive, total], axis=1) if free is None else free
     rate = (positive.sum() + 0.5) / (total.sum() + 1)
     prior = float(np.log(rate / (1 - rate)))
     margin, trees = np.full(len(x), prior), []
@@ -191,10 +207,10 @@ def fit(x: np.ndarray, kinds: np.ndarray, positive: np.ndarray, total: np.ndarra
         trees.append((FEATURES[feature], cut, *sides))
         margin += step
     thresholds = []
-    for kind in range(len(KINDS)):
-        own = np.flatnonzero(kinds == kind)
+    for number in range(len(GENERATORS)):
+        own = np.flatnonzero((generators == number) & (free[:, 1] > 0))
         own = own[np.argsort(-margin[own], kind="stable")]
-        good = np.cumsum(positive[own]) / np.maximum(np.cumsum(total[own]), 1)
+        good = np.cumsum(free[own, 0]) / np.maximum(np.cumsum(free[own, 1]), 1)
         enough = np.flatnonzero((good >= PRECISION) & (np.append(np.diff(margin[own]) != 0, True) if len(own) else good > 2))
         thresholds.append(float(margin[own][enough[-1]]) - 1e-9 if len(enough) else float("inf"))
     return Model(prior, trees, thresholds)
@@ -202,15 +218,20 @@ def fit(x: np.ndarray, kinds: np.ndarray, positive: np.ndarray, total: np.ndarra
 
 def train(found: DataFrame) -> Model:
     """Fit on the candidates of all documents, counted by description: the driver gets one row per description."""
-    def label(c: Column) -> Column:
+    def sure(c: Column) -> Column:
         return c["passed"] | F.exists("candidates", lambda b: b["passed"] & (b["kind"] == c["kind"]) & _overlap(b, c))
 
-    some = found.where(F.size("candidates") > 0).withColumn("labels", F.transform("candidates", lambda c: label(c).cast("int")))
-    rows = some.select(F.explode(F.arrays_zip("candidates", "labels")).alias("r")).select("r.candidates.*", F.col("r.labels").alias("label"))
-    counted = rows.groupBy("kind", *FEATURES).agg(F.sum("label").alias("positive"), F.count("*").alias("total")).orderBy("kind", *FEATURES).collect()
+    def taken(c: Column) -> Column:
+        return c["passed"] | F.exists("candidates", lambda b: b["passed"] & _overlap(b, c))
+
+    marks = F.transform("candidates", lambda c: F.struct((sure(c) | c["valid"]).cast("int").alias("label"), (~taken(c)).cast("int").alias("free")))
+    some = found.where(F.size("candidates") > 0).withColumn("marks", marks)
+    rows = some.select(F.explode(F.arrays_zip("candidates", "marks")).alias("r")).select("r.candidates.*", "r.marks.*")
+    counts = [F.sum("label").alias("positive"), F.count("*").alias("total"), F.sum(F.col("label") * F.col("free")).alias("added"), F.sum("free").alias("open")]
+    counted = rows.groupBy(*FEATURES).agg(*counts).orderBy(*FEATURES).collect()
     x = np.array([[r[n] for n in FEATURES] for r in counted], dtype=np.int64).reshape(-1, len(FEATURES))
-    column = lambda n, kind: np.array([r[n] for r in counted], dtype=kind)
-    return fit(x, column("kind", np.int64), column("positive", float), column("total", float))
+    column = lambda n: np.array([r[n] for r in counted], dtype=float)
+    return fit(x, x[:, 0], column("positive"), column("total"), np.stack([column("added"), column("open")], axis=1))
 
 
 def selected(model: Model) -> Column:
@@ -219,7 +240,7 @@ def selected(model: Model) -> Column:
     limits = F.array(*[F.lit(t) for t in model.thresholds])
     added = F.filter(
         "candidates",
-        lambda c: ~c["passed"] & ~F.exists("candidates", lambda b: b["passed"] & _overlap(b, c)) & (model.margin(c) >= F.get(limits, c["kind"])),
+        lambda c: c["valid"] & ~c["passed"] & ~F.exists("candidates", lambda b: b["passed"] & _overlap(b, c)) & (model.margin(c) >= F.get(limits, c["generator"])),
     )
     return _ordered(F.concat(base, added))
 

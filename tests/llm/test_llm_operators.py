@@ -452,6 +452,19 @@ def test_redaction(spark):
             assert not brute_spans(t), (i, t[:80])
 
 
+def test_looser_forms_are_added_by_their_own_checks(spark):
+    loose = ["write jo.doe [at] mail [dot] org now", "at 2001:0db8:85a3:0000:0000:8a2e:0370:7334 today", "paid 4111.1111.1111.1111 then", "ring 415-555-2671 now"]
+    bad = ["host 300.1.1.1 is down", "paid 4111.1111.1111.1112 then", "card 4111 1111 1111 1112 here"]
+    sound = [f"mail a{i}@b.org from 10.0.{i % 250}.7" for i in range(400)]  # many sure spans
+    for texts in (loose + bad, loose * 40 + bad + sound):
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        for r in pii.find_spans(df).collect():
+            if texts[r.doc_id] in loose:
+                assert len(r.spans) == 1 and not r.base, texts[r.doc_id]
+            elif texts[r.doc_id] in bad:
+                assert r.spans == r.base == [], texts[r.doc_id]
+
+
 def test_pii_empty_table(none):
     assert rows_of(pii.find_spans(none)) == [] and rows_of(pii.redact(none)) == []
 
