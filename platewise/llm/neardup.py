@@ -30,6 +30,7 @@ from platewise.llm.text import mix, shingle_sets, slices, words_of
 PLACES, INDEXED, CHUNK, FIRST_DISTANCE, DISTANCE, SHINGLE = 128, 64, 4, 31, 53, 5
 # Classes of one family that a task compares with one another; larger families are dealt out by pairs of parts.
 _PART = 3000
+_TABLE = ["table", "table_low", "table_high"]
 _rng = np.random.default_rng(31)
 _XOR = _rng.integers(0, 2**63, PLACES, dtype=np.uint64)
 _ODD = _rng.integers(0, 2**62, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -191,14 +192,24 @@ def join_families(rows: DataFrame) -> DataFrame:
     """Links ``a``, ``b`` that connect different components ``c`` of a ``family``; no pairs are made but links.
 
     ``rows``: ``family``, ``node``, ``c``, ``n_shingles``, ``signature``, ``shingles``, and ``n``, the family's size. A
-    large family is dealt out in parts, every two of which meet in one task.
+    large family is dealt out in parts; every two of them meet in a table of their own, so that no task holds more at once.
+    """
+    return _deal(rows).groupBy(*_TABLE).applyInArrow(_join_parts, "a long, b long")
+
+
+def _deal(rows: DataFrame) -> DataFrame:
+    """Rows with ``part``, ``low``, ``high`` and the columns of ``_TABLE``, which name the table that is compared at once.
+
+    Two parts of a large family are a table of their own; families of one part are put together, about a part's rows.
     """
     parts = F.ceil(F.col("n") / _PART).cast("int")
     dealt = rows.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     dealt = dealt.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
-    tasks = max(1, rows.count() // _PART)
-    dealt = dealt.withColumn("task", F.pmod(F.xxhash64("family", "low", "high"), F.lit(tasks)).cast("int"))
-    return dealt.drop("n", "other").groupBy("task").applyInArrow(_join_parts, "a long, b long")
+    tables = max(1, rows.where(parts == 1).count() // _PART)
+    shared = F.pmod(F.xxhash64("family"), F.lit(tables))
+    alone = parts > 1
+    keys = (F.when(alone, F.col("family")).otherwise(shared), F.when(alone, F.col("low")).otherwise(-1), F.when(alone, F.col("high")).otherwise(-1))
+    return dealt.withColumns(dict(zip(_TABLE, keys))).drop("n", "other")
 
 
 def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:

@@ -204,6 +204,20 @@ def test_families_are_joined_as_by_all_pairs(spark, monkeypatch):
     assert classes(got) == classes(want)
 
 
+def test_a_table_of_a_large_family_holds_two_parts(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "_PART", 50)
+    sizes = {1: 1000, 2: 30, 3: 20}
+    rows = spark.createDataFrame([(f, 10_000 * f + i, n) for f, n in sizes.items() for i in range(n)], "family long, node long, n long")
+    dealt = [r.asDict() for r in neardup._deal(rows).collect()]
+    tables = {}
+    for r in dealt:
+        tables.setdefault(tuple(r[k] for k in neardup._TABLE), []).append(r)
+    assert max(map(len, tables.values())) < 4 * 50 < 1000
+    for f, n in sizes.items():  # every two classes meet
+        met = {(a["node"], b["node"]) for t in tables.values() for a in t if a["family"] == f for b in t if b["family"] == f and (a["low"], a["high"]) == (b["low"], b["high"])}
+        assert len(met) == n * n
+
+
 def test_near_duplicates_empty_table(none):
     assert rows_of(neardup.near_duplicates(none)) == []
 
