@@ -3,8 +3,9 @@
 Texts are brought to templates: numbers, units after numbers, and names (capitalised words within a sentence) become
 typed placeholders, the rest is lowered and split at everything but letters and digits. Windows of template tokens are
 joined by hash between the benchmark and the documents, so that a question whose values were changed still matches.
-Where windows hold placeholders, the values are compared. Windows with the same values count; over all others of a
-document and an item, each value of the item has to stand for one value of the document, or none of them counts.
+Where windows hold placeholders, the values are compared. Windows with the same values count; over all others of one
+alignment (an item laid at one place of a document), each value of the item has to stand for one value of the document,
+or none of that alignment counts. A number is one placeholder with its separators and decimals.
 """
 
 from __future__ import annotations
@@ -19,14 +20,17 @@ _NUMBER, _NAME, _UNIT = "\x02", "\x03", "\x04"
 # Units that are placeholders after a number.
 _UNITS = "km|cm|mm|m|kg|mg|g|lbs|lb|oz|miles|mile|feet|foot|inches|inch|hours|hour|minutes|minute|seconds|second|days|day|weeks|week|years|year|percent|dollars|dollar|euros|euro|cents|cent|liters|liter|litres|litre|ml|l|mph|kmh"
 _LOW, _HIGH = "a-zß-ÿ", "A-ZÀ-Þ"
+_POINT = "\ufdd0"  # stands for the decimal point, which would split
 _SPLIT = r"[\x00-\x01\x05-/:-@\[-`{-\x7f]+"
 
 
 def template_tokens(text: Column) -> Column:
     """Lowered tokens; one with a value starts with (or holds) the mark of its type."""
+    grouped = F.regexp_replace(F.translate(text, _POINT, " "), "(?<=[0-9]),(?=[0-9]{3}(?![0-9]))", "")
+    whole = F.regexp_replace(grouped, "(?<=[0-9])[.,](?=[0-9])", _POINT)
     marked = F.when(
         text.rlike("[0-9]"),
-        F.regexp_replace(F.regexp_replace(text, f"([0-9]+)( ?)({_UNITS})(?![{_LOW}{_HIGH}0-9])", f"$1$2{_UNIT}$3"), "[0-9]+", f"{_NUMBER}$0"),
+        F.regexp_replace(F.regexp_replace(whole, f"([0-9]+)( ?)({_UNITS})(?![{_LOW}{_HIGH}0-9])", f"$1$2{_UNIT}$3"), f"[0-9][0-9{_POINT}]*+", f"{_NUMBER}$0"),
     ).otherwise(text)
     named = F.regexp_replace(marked, f"(?<=[{_LOW},;] )[{_HIGH}][{_LOW}]+", f"{_NAME}$0")
     return F.filter(F.split(F.lower(named), _SPLIT), lambda t: t != "")
@@ -34,7 +38,7 @@ def template_tokens(text: Column) -> Column:
 
 def _type(token: Column) -> Column:
     """The token with its value taken out; a token without a value is its own type."""
-    typed = F.when(F.contains(token, F.lit(_NUMBER)), F.translate(token, "0123456789", ""))
+    typed = F.when(F.contains(token, F.lit(_NUMBER)), F.translate(token, "0123456789" + _POINT, ""))
     return typed.when(F.contains(token, F.lit(_NAME)), _NAME).when(F.contains(token, F.lit(_UNIT)), _UNIT).otherwise(token)
 
 
@@ -64,9 +68,9 @@ def _with_windows(rows: DataFrame) -> DataFrame:
 
 
 def _values(tokens: Column, start: Column) -> Column:
-    """Values of a window's placeholders, in order: the digits of a number, else the token."""
+    """Values of a window's placeholders, in order: the digits and point of a number, else the token."""
     marked = F.filter(F.slice(tokens, start + 1, WINDOW), _has_mark)
-    return F.transform(marked, lambda t: F.when(F.contains(t, F.lit(_NUMBER)), F.regexp_replace(t, "[^0-9]", "")).otherwise(t))
+    return F.transform(marked, lambda t: F.when(F.contains(t, F.lit(_NUMBER)), F.regexp_replace(t, f"[^0-9{_POINT}]", "")).otherwise(t))
 
 
 def find_leaks(
@@ -97,16 +101,16 @@ def find_leaks(
         wanted = F.broadcast(wanted)
     hits = windows.join(wanted, "window")
     plain = hits.where(F.size("item_values") == 0).select("doc", "item", "window", F.lit(0).alias("n_values"))
-    slotted = hits.where(F.size("item_values") > 0).select("doc", "item", "window", "place", "item_values")
+    slotted = hits.where(F.size("item_values") > 0).select("doc", "item", "window", "place", (F.col("place") - F.col("at")).alias("shift"), "item_values")
     # Values of the document: looked up again for the documents that matched with placeholders only.
     again = rows.join(slotted, "doc").withColumn("tokens", template_tokens(F.col("text")))
-    valued = again.select("doc", "item", "window", "item_values", _values(F.col("tokens"), F.col("place")).alias("doc_values"))
+    valued = again.select("doc", "item", "shift", "window", "item_values", _values(F.col("tokens"), F.col("place")).alias("doc_values"))
     pairs = valued.select(
-        "doc", "item", "window", (F.col("item_values") == F.col("doc_values")).alias("same"), F.explode_outer(F.arrays_zip("item_values", "doc_values")).alias("p")
-    ).select("doc", "item", "window", "same", F.col("p.item_values").alias("a"), F.col("p.doc_values").alias("b"))
-    steady = pairs.where(~F.col("same")).groupBy("doc", "item", "a").agg(F.count_distinct("b").alias("kinds"))
-    broken = steady.where("kinds > 1").select("doc", "item", F.lit(True).alias("broken")).distinct()
-    sound = pairs.join(broken, ["doc", "item"], "left").where(F.col("same") | F.col("broken").isNull())
+        "doc", "item", "shift", "window", (F.col("item_values") == F.col("doc_values")).alias("same"), F.explode_outer(F.arrays_zip("item_values", "doc_values")).alias("p")
+    ).select("doc", "item", "shift", "window", "same", F.col("p.item_values").alias("a"), F.col("p.doc_values").alias("b"))
+    steady = pairs.where(~F.col("same")).groupBy("doc", "item", "shift", "a").agg(F.count_distinct("b").alias("kinds"))
+    broken = steady.where("kinds > 1").select("doc", "item", "shift", F.lit(True).alias("broken")).distinct()
+    sound = pairs.join(broken, ["doc", "item", "shift"], "left").where(F.col("same") | F.col("broken").isNull())
     sound = sound.groupBy("doc", "item", "window").agg(F.count_distinct("a").cast("int").alias("n_values"))
     found = plain.unionByName(sound).groupBy("doc", "item").agg(F.count_distinct("window").alias("n_windows"), F.sum("n_values").alias("n_values"))
     enough = found.join(sizes, "item").where(F.col("n_windows") >= F.least(F.col("n_item"), F.lit(LEAST_WINDOWS)))

@@ -342,6 +342,15 @@ def test_leaks_verbatim_and_with_other_values(spark):
     assert got == {(1, 1), (2, 1), (6, 2), (8, 1), (9, 2)}
 
 
+def test_leaks_of_a_question_held_twice_and_of_whole_numbers(spark):
+    item = "A farmer packs 350 apples into 14 boxes and sells 20 of them so what is left of the 350 at night"
+    variants = [item.replace("350", n).replace("14", "9").replace("20", m) for n, m in (("700", "40"), ("1,200", "3.5"))]
+    docs = spark.createDataFrame([(1, " ".join(variants)), (2, variants[1]), (3, variants[0]), (4, prose(9, 60))], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: r.n_windows for r in decontaminate.find_leaks(docs, items).collect()}
+    assert set(got) == {1, 2, 3} and got[1] >= got[2] == got[3]
+
+
 def test_leaks_equal_brute_force_on_plain_text(spark):
     items = [(k, prose(40 + k, 20 + k)) for k in range(8)]
     rows = [(i, prose(200 + i, 30) + " " + items[i % 8][1][: 40 + 13 * i] + " " + prose(300 + i, 10)) for i in range(24)]
