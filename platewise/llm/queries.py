@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bpe, decontaminate, lm_score, neardup, pii, quality, substring, syncmers, toxicity, url_rules
+from platewise.llm import bpe, decontaminate, lm_score, neardup, packing, pii, prefix_tree, quality, resample, substring, syncmers, toxicity, url_rules
 from platewise.llm.registry import documents, query
 
 
@@ -133,3 +133,73 @@ def op10_url_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Verdict on every page's url."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_rules.match_urls(spark.read.parquet(f"{sf}/pages.parquet"), rules)
+
+
+# CRC-32 in SQL, which DuckDB has no function for: its table by rule, then one step per byte.
+CRC_TABLE_SQL = """SELECT list(list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS t FROM range(256) AS r(n)"""
+
+
+def crc_sql(value: str) -> str:
+    """CRC-32 of a string's UTF-8 bytes as an SQL expression; ``t`` is the table's column."""
+    coded = f"hex(encode({value}))"
+    data = f"list_transform(range(octet_length(encode({value}))), lambda i: CAST('0x' || substr({coded}, 2 * i + 1, 2) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {data}), lambda c, b: xor(t[1 + (xor(c, b) & 255)], c >> 8)), 4294967295)"
+
+
+def _letters_sql(text: str) -> str:
+    lowered = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"regexp_extract_all({lowered}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op11_resample",
+    f"""WITH crc AS ({CRC_TABLE_SQL}),
+    docs AS (SELECT doc_id, {_letters_sql("text")} AS ws FROM documents),
+    words AS (SELECT doc_id, unnest(ws) AS w FROM docs),
+    wanted AS (SELECT unnest({_letters_sql("text")}) AS w FROM benchmark),
+    buckets AS (SELECT w, {crc_sql("w")} % 10000 AS k FROM (SELECT w FROM words UNION SELECT w FROM wanted), crc),
+    source AS (SELECT k, count(*) AS s FROM words JOIN buckets USING (w) GROUP BY k),
+    target AS (SELECT k, count(*) AS t FROM wanted JOIN buckets USING (w) GROUP BY k),
+    gains AS (SELECT k, CAST(floor(1000 * ln((CAST(coalesce(t, 0) AS DOUBLE) + 1) * ((SELECT count(*) FROM words) + 10000)
+      / ((CAST(s AS DOUBLE) + 1) * ((SELECT count(*) FROM wanted) + 10000)))) AS BIGINT) AS gain FROM source LEFT JOIN target USING (k)),
+    sums AS (SELECT doc_id, CAST(sum(gain) AS BIGINT) AS weight FROM words JOIN buckets USING (w) JOIN gains USING (k) GROUP BY doc_id),
+    scored AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+      coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + CAST(0.5 AS DOUBLE)) / 4294967296))) AS BIGINT) AS score
+      FROM docs LEFT JOIN sums USING (doc_id)),
+    ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS nth, 10 * count(*) OVER () // 100 AS drawn FROM scored WHERE n_features >= 20)
+    SELECT doc_id, n_features, weight, score, nth AS rank FROM scored LEFT JOIN (SELECT * FROM ranked WHERE nth <= drawn) USING (doc_id)""",
+)
+def op11_resample(spark: SparkSession, sf: str) -> DataFrame:
+    """A tenth of the documents, drawn towards the benchmark's words; all documents with weight and score."""
+    out = resample.resample(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op12_packing")
+def op12_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Pieces of every document in windows of up to 1024 tokens."""
+    return packing.pack(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
+@query(
+    "op13_prefix_tree",
+    rf"""WITH crc AS ({CRC_TABLE_SQL}),
+    own AS (SELECT conv_id, turn, struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) AS m FROM conversations WHERE conv_id IS NOT NULL),
+    lists AS (SELECT conv_id, list(m ORDER BY turn NULLS FIRST) AS ms FROM own GROUP BY conv_id),
+    shared AS (SELECT conv_id, ms, {crc_sql("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM lists, crc),
+    whole AS (SELECT c.conv_id, list_concat(coalesce(b.ms[1 : h], []), c.ms[h + 1 :]) AS p FROM shared c LEFT JOIN lists b ON b.conv_id = c.conv_id - c.conv_id % 20),
+    members AS (SELECT conv_id, d, p[1 : d] AS node, CASE WHEN d > 0 THEN p[1 : d - 1] END AS up, coalesce(p[d].x, '') AS last, len(p) = d AS ends
+      FROM whole, unnest(range(len(p) + 1)) AS t(d)),
+    nodes AS (SELECT node, d, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(len(regexp_extract_all(last, '{prefix_tree.WORDS}'))) AS words,
+      coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ends FROM members GROUP BY node, d),
+    children AS (SELECT up AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY up),
+    full_nodes AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (node)),
+    sums AS (SELECT node[1 : i] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * words) AS saved FROM full_nodes, unnest(range(d + 1)) AS t(i) GROUP BY ALL)
+    SELECT a.conv_id, a.d AS depth, b.conv_id AS parent_conv_id, a.n_convs, a.n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(a.ends) AS ends_sha256
+    FROM full_nodes a JOIN sums s USING (node) LEFT JOIN nodes b ON b.node = a.up""",
+)
+def op13_prefix_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Nodes of the trie of all conversations, which share starts by families of twenty."""
+    turns, convs = prefix_tree.rebuilt(prefix_tree.ordered_turns(spark.read.parquet(f"{sf}/conversations.parquet")))
+    return prefix_tree.prefix_tree(turns, convs)
