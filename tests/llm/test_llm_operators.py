@@ -82,6 +82,18 @@ def test_bpe_empty_table(none):
     assert rows_of(bpe.round_trip(none, RANKS, public_tokenizers.PATTERN)) == []
 
 
+def thue_morse(n):
+    """A word of n letters, and the one with its letters exchanged: equal under a polynomial hash modulo 2**64."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_without_shared_hashes():
+    one, other = thue_morse(1024)
+    hashes = words_of([f"{one} {other} {one[:-1]} {one} ab ba".encode()]).hashes.tolist()
+    assert hashes[0] == hashes[3] and len(set(hashes)) == 5
+
+
 # --- 2 ---------------------------------------------------------------------------------------------
 def brute_repeats(rows, window=13):
     words = [SPACE.findall(t or "") for _, t in rows]
@@ -116,6 +128,11 @@ def test_repeats_shared_passages_over_many_blocks(spark):
     assert sort(rows_of(substring.remove_repeats(df, block_bytes=5000))) == sort(brute_repeats(rows))
 
 
+def test_repeats_of_long_words_that_differ(spark):
+    rows = [(i, " ".join([prose(i, 6), *[w] * 13])) for i, w in enumerate(thue_morse(1024))]
+    assert sort(rows_of(substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")))) == sort(brute_repeats(rows))
+
+
 def test_repeats_empty_table(none):
     assert rows_of(substring.remove_repeats(none)) == []
 
@@ -260,17 +277,23 @@ def test_toxicity_shares_vectors_with_unseen_spellings(spark):
     assert scorer.score(clean + " blockheads") > scorer.score(clean)
 
 
-def test_toxicity_sample_passes_over_documents_that_do_not_fit(spark, monkeypatch):
+def test_toxicity_learns_from_passages_of_long_texts(spark, monkeypatch):
     docs, labels, toxic, _ = labelled(spark)
-    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 20_000)
-    first = docs.where("doc_id % 4 = 0").orderBy(F.xxhash64("doc_id"), "doc_id").first().doc_id
-    longer = F.when(F.col("doc_id") == first, F.repeat(F.concat("text", F.lit(" ")), 100)).otherwise(F.col("text"))
-    model = toxicity.train(docs.withColumn("text", longer), labels, label="toxic")
-    scorer = toxicity.Scorer(model)
-    assert scorer.score(prose(77, 40) + " blockhead nitwit dimwit") > 0.7 > 0.3 > scorer.score(prose(77, 40))
+    monkeypatch.setattr(toxicity, "EXCERPT", 1600)
+    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 60_000)
     longer = F.when(F.col("doc_id") % 4 == 0, F.repeat(F.concat("text", F.lit(" ")), 100)).otherwise(F.col("text"))
-    with pytest.raises(ValueError, match="no training sample"):
-        toxicity.train(docs.withColumn("text", longer), labels, label="toxic")
+    longer = docs.withColumn("text", longer)
+    sample = toxicity.training_sample(longer, labels).groupBy("y").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size")).collect()
+    assert {r.y for r in sample} == {0, 1} and all(r.n > 20 and r.size <= 60_000 for r in sample)
+    scorer = toxicity.Scorer(toxicity.train(longer, labels))
+    assert scorer.score(prose(77, 40) + " blockhead nitwit dimwit") > 0.7 > 0.3 > scorer.score(prose(77, 40))
+
+
+def test_toxicity_sample_has_each_id_once(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0)] * 20 + [(1, 1), (2, 0), (3, 1)], "doc_id long, toxic int")
+    got = toxicity.training_sample(docs, labels).collect()
+    assert sorted((r.doc_id, r.y) for r in got) == [(1, 1), (2, 0)]
 
 
 def test_classifiers_on_awkward_rows(docs, none, spark):
@@ -493,10 +516,57 @@ def test_pii_empty_table(none):
 
 
 def test_boosted_trees_tell_descriptions_apart():
-    x = np.array([[0, d, 1, 1, 1, l, 0, 0, 0] for d in range(10, 20) for l in (0, 1)])
+    x = np.array([[0, d, 1, 1, 1, l, 0, 0] for d in range(10, 20) for l in (0, 1)])
     positive = np.array([100.0 if r[1] >= 14 and r[5] else 0.0 for r in x])
-    model = pii.fit(x, np.zeros(len(x), dtype=int), positive, np.full(len(x), 100.0))
-    assert len(model.trees) == pii.TREES and np.isfinite(model.thresholds[0]) and model.thresholds[1] == float("inf")
+    total = np.full(len(x), 100.0)
+    model = pii.fit(x, np.zeros(len(x), dtype=int), positive, total, np.stack([positive, total], axis=1))
+    assert len(model.trees) == pii.TREES and np.isfinite(model.thresholds[0]) and model.thresholds[1] == float("-inf")
+
+
+def test_look_alikes_that_fail_their_check_do_not_switch_valid_spans_off(spark):
+    valid = ["dial 415-555-2671 now", "or 212-555-0187", "then 646-555-4432."]
+    look_alikes = ["at 015-555-2671", "at 115-555-2671", "at 100-555-2671", "at 199-055-2671"]
+    df = spark.createDataFrame(list(enumerate(valid + look_alikes)), "doc_id long, text string")
+    assert {r.doc_id for r in pii.find_spans(df).collect() if r.spans} == {0, 1, 2}
+
+
+def test_words_before_decide_what_is_added(spark):
+    """Dotted numbers that pass Luhn: those of cards are 4-4-4-4 after a slash, order numbers stand in brackets."""
+    good, bad = "4111.1111.1111.1111", "5500.0000.0000.0004"
+    rows = [(i, f"card: {good} ok") for i in range(60)] + [(100 + i, f"order no ({bad}) ok") for i in range(60)]
+    rows += [(300, f"here {good} too"), (301, f"here ({bad}) too")]  # no evidence, but like the others
+    spans = {r.doc_id: len(r.spans) for r in pii.find_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert spans[300] == 1 and spans[301] == 0 and spans[0] == 1 and spans[100] == 0
+
+
+def test_texts_with_very_many_spans(spark):
+    import time
+
+    n = 100_000
+    df = spark.createDataFrame([(1, "1.2.3.4 " * n), (2, "a@b.c,+49 30 1234567;" * (n // 10))], "doc_id long, text string")
+    begin = time.time()
+    got = {r.doc_id: r for r in pii.find_spans(df).selectExpr("doc_id", "size(base) AS n", "base[size(base) - 1] AS last", "size(spans) AS m").collect()}
+    assert (got[1].n, got[1].m, got[2].n) == (n, n, n // 5) and got[1].last.start == 8 * (n - 1)
+    texts = dict(rows_of(pii.redact(df)))
+    assert texts[1] == "[IP] " * n and texts[2] == "[EMAIL],[PHONE];" * (n // 10)
+    assert time.time() - begin < 120
+
+
+def test_redaction_with_clashing_names(spark):
+    df = spark.createDataFrame([("x", "a@b.c", 1, 2, "r", 5)], "candidates string, text string, _spans int, _text int, row string, spans int")
+    assert rows_of(pii.redact(df)) == [("x", "[EMAIL]", 1, 2, "r", 5)] and pii.redact(df).columns == df.columns
+
+
+def test_bisection_finds_the_same_overlaps_as_comparing_all(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(300):
+        marks = np.sort(rng.choice(60, 2 * int(rng.integers(0, 8)), replace=False))
+        a, b = sorted(rng.choice(60, 2, replace=False).tolist())
+        rows.append((i, [(int(x), int(y)) for x, y in marks.reshape(-1, 2)], (a, b)))
+    df = spark.createDataFrame(rows, "i int, spans array<struct<start:int,end:int>>, c struct<start:int,end:int>")
+    got = {r.i: r.o for r in df.select("i", pii._overlapped(F.col("c"), F.col("spans")).alias("o")).collect()}
+    assert got == {i: any(s < b and a < e for s, e in spans) for i, spans, (a, b) in rows}
 
 
 # --- 10 --------------------------------------------------------------------------------------------
