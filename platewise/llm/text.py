@@ -46,8 +46,8 @@ def _slice_words(texts: list[bytes], lower: bool) -> tuple[np.ndarray, np.ndarra
     heads = np.searchsorted(inside, starts)
     lengths = np.diff(np.append(heads, len(inside)))
     place = np.arange(len(inside)) - np.repeat(heads, lengths)
-    powers = np.multiply.accumulate(np.full(int(lengths.max()), _BASE, dtype=np.uint64))
-    return mix(np.add.reduceat(_BYTE[buf[inside]] * powers[place], heads)), counts
+    # Every byte at its place is a random number of its own: sums of these have no structure that words could share.
+    return mix(np.add.reduceat(mix(_BYTE[buf[inside]] + place.astype(np.uint64) * _BASE), heads)), counts
 
 
 def words_of(texts: list[bytes], lower: bool = False) -> Words:
