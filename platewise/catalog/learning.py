@@ -11,6 +11,7 @@ from platewise.catalog.base import query, rounded, table, warehouse
 from platewise.catalog.ingest import _request_rows
 from platewise.constants import TARGETS
 from platewise.models import regress, unsupervised
+from platewise.models.subspace import Blocks, fit_subspace, projected
 from platewise.operators import fields
 from platewise.operators.clusters import core_points, dbscan, standard_scale
 from platewise.operators.eda import crosstab
@@ -111,30 +112,42 @@ def stream_predict(spark, sf):
 
 
 # --- fields as vectors ---------------------------------------------------------------------------------------
-def field_rows(spark, sf, size: int = SIZE) -> DataFrame:
-    rows = fields.scale_each(fields.field_vectors(stored(spark, sf), size))
-    return unsupervised.as_vector(rows.select("simulation_id", "split", "geometry_type", "field"), "field")
+def field_matrix(spark, sf, size: int = SIZE) -> Blocks:
+    """Every plate's scaled field as a row; stored are the plates' values only."""
+    rows, read = fields.field_blocks(stored(spark, sf), size, keep=("simulation_id", "geometry_type"))
+    return Blocks(rows, read, size * size)
+
+
+def field_points(spark, sf, components: int = COMPONENTS) -> DataFrame:
+    """Every plate on the first principal components, written once for the passes that follow."""
+    matrix = field_matrix(spark, sf)
+    path = new_path(spark, "field-points")
+    projected(matrix, fit_subspace(matrix, components), ["simulation_id", "geometry_type"]).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @query("pca_fields")
 def pca_fields(spark, sf):
-    model = unsupervised.fit_pca(field_rows(spark, sf), COMPONENTS)
-    return unsupervised.cumulative_variance(unsupervised.explained_variance(model, spark))
+    space = fit_subspace(field_matrix(spark, sf), COMPONENTS)
+    return unsupervised.cumulative_variance(unsupervised.explained_variance(space, spark))
 
 
 @query("kmeans_elbow")
 def kmeans_elbow(spark, sf):
-    rows = field_rows(spark, sf)
-    reduced = unsupervised.fit_pca(rows, COMPONENTS).transform(rows).select(F.col("pca").alias("features"))
-    return unsupervised.kmeans_elbow(reduced, inits=INITS)
+    return unsupervised.kmeans_elbow(field_points(spark, sf), inits=INITS)
 
 
 @query("kmeans_geometry")
 def kmeans_geometry(spark, sf):
-    labels = unsupervised.kmeans_labels(field_rows(spark, sf), 3)
+    labels = unsupervised.kmeans_labels(field_points(spark, sf), 3, inits=INITS)
     return crosstab(labels, "cluster", "geometry_type", _GEOMETRIES)
 
 
+def field_rows(spark, sf, size: int = SIZE) -> DataFrame:
+    rows = fields.scale_each(fields.field_vectors(stored(spark, sf), size))
+    return unsupervised.as_vector(rows.select("simulation_id", "split", "geometry_type", "field"), "field")
+
+
 @query("field_classifier")
 def field_classifier(spark, sf):
     label = F.array_position(F.array(*[F.lit(g) for g in _GEOMETRIES]), F.col("geometry_type")) - 1
@@ -195,12 +208,11 @@ def density_clusters(spark, sf):
 
 @query("dbscan_fields")
 def dbscan_fields(spark, sf):
-    """Field vectors on two principal components, scaled, then clustered: sizes per cluster and kind."""
-    rows = field_rows(spark, sf)
-    flat = unsupervised.project(unsupervised.fit_pca(rows, 2), rows)
+    """Fields on two principal components, scaled, then clustered: plates per kind, cluster and geometry."""
+    flat = field_points(spark, sf, 2)
     # Rounded: the projection is a sum of many terms, and its copies must agree between passes.
     xy = flat.select(
-        "simulation_id", F.round(F.col("pca_values")[0], 9).alias("x"), F.round(F.col("pca_values")[1], 9).alias("y")
+        "simulation_id", "geometry_type", F.round(F.col("pca_values")[0], 9).alias("x"), F.round(F.col("pca_values")[1], 9).alias("y")
     )
-    found = dbscan(standard_scale(xy, ["x", "y"]), "simulation_id", "x", "y")
-    return found.groupBy("kind", "cluster").agg(F.count("*").alias("n"))
+    found = dbscan(standard_scale(xy, ["x", "y"]), "simulation_id", "x", "y").join(xy.select("simulation_id", "geometry_type"), "simulation_id")
+    return found.groupBy("kind", "cluster", "geometry_type").agg(F.count("*").alias("n"))

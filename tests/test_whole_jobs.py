@@ -1,7 +1,6 @@
 """Registered queries run the whole job: the functions' defaults, all targets, all plates."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from platewise.catalog import learning
 from platewise.constants import TARGETS
@@ -36,8 +35,8 @@ def test_models_are_fitted_with_their_defaults(spark, monkeypatch):
         _, options = caught(m, learning.regress, "fit_plate_model", lambda: learning.rf_baseline(spark, SF))
         assert options == {"build": learning.regress.forest}
     with monkeypatch.context() as m:
-        args, options = caught(m, learning.unsupervised, "fit_pca", lambda: learning.pca_fields(spark, SF))
-        assert args[1] == 50 and args[0].select(F.size("field")).first()[0] == 64 * 64
+        args, options = caught(m, learning, "fit_subspace", lambda: learning.pca_fields(spark, SF))
+        assert args[1] == 50 and args[0].width == 64 * 64 and args[0].rows.count() == learning.stored(spark, SF).count()
     with monkeypatch.context() as m:
         args, options = caught(m, learning.unsupervised, "geometry_classifier", lambda: learning.field_classifier(spark, SF))
         assert args[1:] == (3, 64 * 64) and not options
