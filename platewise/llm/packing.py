@@ -30,6 +30,8 @@ from tokenizers import Tokenizer
 _CACHE_ENTRIES, _CACHE_LENGTH = 600_000, 60
 _LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _SLICE = 1 << 16
+# Characters whose new pieces are learned at once.
+_GROUP = 1 << 18
 # A window's number: the partition, then the window within it.
 _WINDOW_BITS = 40
 
@@ -105,25 +107,22 @@ class TextEncoder:
             begin = found.start()
         yield text[begin:]
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        out, cache = [], self.cache
-        for part in self._slices(text):
-            if self._other_space(part):
-                out.append(self._ids(part).tobytes())
-                continue
-            pieces = self._pieces(part)
-            missing = set(pieces).difference(cache)
-            if missing:
-                self._learn(missing)
-            out.append(b"".join(map(cache.__getitem__, pieces)))
-            for p in missing:
-                if len(p) > _CACHE_LENGTH:
-                    del cache[p]
-            if len(cache) > _CACHE_ENTRIES:
-                for p in list(islice(cache, _CACHE_ENTRIES // 2, None)):  # what came first is the most frequent
-                    del cache[p]
-        return b"".join(out)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; new pieces of all texts are learned at once."""
+        cache = self.cache
+        parts = [[p if self._other_space(p) else self._pieces(p) for p in self._slices(t)] for t in texts]
+        missing = set().union(*(p for own in parts for p in own if isinstance(p, list))).difference(cache)
+        if missing:
+            self._learn(missing)
+        get = cache.__getitem__
+        out = [b"".join([b"".join(map(get, p)) if isinstance(p, list) else self._ids(p).tobytes() for p in own]) for own in parts]
+        for p in missing:
+            if len(p) > _CACHE_LENGTH:
+                del cache[p]
+        if len(cache) > _CACHE_ENTRIES:
+            for p in list(islice(cache, _CACHE_ENTRIES // 2, None)):  # what came first is the most frequent
+                del cache[p]
+        return out
 
 
 class _Pool:
@@ -257,8 +256,11 @@ def pack(
             keys = batch.column("key")
             if batch.num_rows:
                 writer.partition, writer.key_type = batch.column("part")[0].as_py(), keys.type
-            for k, t in zip(keys.to_pylist(), batch.column("text").to_pylist()):
-                yield from writer.add(k, (encoder.encode(t) if t else b"") + tail)
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            names = keys.to_pylist()
+            for a, b in _groups(texts):
+                for k, ids in zip(names[a:b], encoder.encode(texts[a:b])):
+                    yield from writer.add(k, ids + tail)
         yield from writer.flush()
 
     # The partition's number is a column, so that it stays the same if the result is coalesced.
@@ -266,6 +268,16 @@ def pack(
     return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
+def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts of about ``_GROUP`` characters, one text at least."""
+    begin, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= _GROUP or i == len(texts) - 1:
+            yield begin, i + 1
+            begin, size = i + 1, 0
+
+
 class _Writer:
     """Blocks of one task: gathers documents, packs a block when it is full, and gives its pieces as Arrow rows."""
 

@@ -255,164 +255,6 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return Model(dict(zip(found.grams, found.logits)), *found.numbers) if found else fit([], np.zeros(0))
 
 
-def score(self, text: str) -> float:
-        z = self.model.slope * self.raw(text) + self.model.offset
-        return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
-
-
-def _sums(values: np.ndarray, index: np.ndarray, size: int) -> np.ndarray:
-    return np.stack([np.bincount(index, values[:, d], size) for d in range(values.shape[1])], axis=1)
-
-
-def _differs(counts: np.ndarray, overall: float) -> np.ndarray:
-    total = counts.sum(axis=1)
-    errors = np.abs(counts[:, 1] - total * overall) / np.sqrt(np.maximum(total * overall * (1 - overall), 1e-9))
-    return (errors >= LEAST_ERRORS) & (total >= LEAST_COUNT)
-
-
-def _telling(names: list[str], counts: np.ndarray) -> dict[str, int]:
-    """Numbers of the n-grams that tell the classes apart.
-
-    A first pass counts by hash, in a table of fixed size; only n-grams of telling buckets are then counted by name.
-    """
-    weights = [Counter(), Counter()]
-    overall, table = counts[:, 1].sum() / max(counts.sum(), 1), np.zeros((_BUCKETS, 2))
-    for a in range(0, len(names), 20_000):
-        buckets = [[crc32(g.encode()) % _BUCKETS for g in grams_of(w)] for w in names[a : a + 20_000]]
-        rows = np.repeat(counts[a : a + 20_000], [len(b) for b in buckets], axis=0)
-        flat = np.fromiter(chain.from_iterable(buckets), np.int64)
-        for c in (0, 1):
-            table[:, c] += np.bincount(flat, rows[:, c], _BUCKETS)
-    telling = _differs(table, overall).tolist()
-    for name, pair in zip(names, counts.tolist()):
-        for g in grams_of(name):
-            if telling[crc32(g.encode()) % _BUCKETS]:
-                for c in (0, 1):
-                    weights[c][g] += pair[c]
-    found = list(weights[0])
-    use = _differs(np.array([[weights[0][g], weights[1][g]] for g in found]).reshape(-1, 2), overall)
-    return {g: i for i, g in enumerate(g for g, u in zip(found, use.tolist()) if u)}
-
-
-class _Adam:
-    """Steps of one parameter array."""
-
-    def __init__(self, like: np.ndarray):
-        self.mean, self.square, self.n = np.zeros_like(like), np.zeros_like(like), 0
-
-    def step(self, gradient: np.ndarray) -> np.ndarray:
-        self.n += 1
-        self.mean = 0.9 * self.mean + 0.1 * gradient
-        self.square = 0.99 * self.square + 0.01 * gradient**2
-        return RATE * (self.mean / (1 - 0.9**self.n)) / (np.sqrt(self.square / (1 - 0.99**self.n)) + 1e-8)
-
-
-def fit(texts: list[str], labels: np.ndarray, seed: int = 1) -> Model:
-    """Train on documents; deterministic for the same documents in the same order."""
-    vocabulary: dict[str, int] = {}
-    docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in _words(t.lower())], dtype=np.int64) for t in texts]
-    docs = [d[np.append(True, np.diff(d) != 0)] if len(d) else d for d in docs]
-    names = list(vocabulary)
-    counts = np.stack(
-        [np.bincount(np.concatenate([np.unique(d) for d, y in zip(docs, labels) if y == c] + [np.zeros(0, np.int64)]), minlength=len(names)) for c in (0, 1)],
-        axis=1,
-    )
-    kept = _telling(names, counts)
-    pairs = [(w, i) for w, name in enumerate(names) for g in grams_of(name) if (i := kept.get(g)) is not None]
-    if not pairs or len(set(labels.tolist())) < 2:
-        rate = (labels.sum() + 0.5) / (len(labels) + 1) if len(labels) else 0.5
-        return Model({}, 0.0, 1.0, float(np.log(rate / (1 - rate))))
-    of_word, of_gram = np.array(pairs, dtype=np.int64).T
-    share = 1.0 / np.array([len(grams_of(w)) for w in names])[of_word][:, None]
-    cuts = [(i, d[a : a + PASSAGE]) for i, d in enumerate(docs) for a in range(0, len(d), PASSAGE)]
-    owner = np.array([i for i, _ in cuts])
-    passage = np.repeat(np.arange(len(cuts)), [len(d) for _, d in cuts])
-    words = np.concatenate([d for _, d in cuts])
-    known = (np.bincount(of_word, minlength=len(names)) > 0)[words]  # other words have the vector 0
-    passage, words = passage[known], words[known]
-    weight = 1.0 / np.maximum(np.array([len(d) for _, d in cuts]), PASSAGE // 2)[:, None]
-    toxic = labels[owner] == 1
-    heads = np.flatnonzero(np.append(True, np.diff(owner) != 0))
-    rng = np.random.default_rng(seed)
-    vectors = rng.normal(0, 0.1, (len(kept), DIMENSIONS))
-    softmax = rng.normal(0, 0.5, (2, DIMENSIONS))
-    bias = np.zeros(2)
-    optimisers = [_Adam(p) for p in (vectors, softmax, bias)]
-    for epoch in range(EPOCHS):
-        word_vectors = _sums(vectors[of_gram] * share, of_word, len(names))
-        bags = _sums(word_vectors[words], passage, len(cuts)) * weight
-        logits = bags @ softmax.T + bias
-        margin = logits[:, 1] - logits[:, 0]
-        p = 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
-        # Each document weighs one: clean passages alike, of a toxic document the best ones (all of them at first).
-        use = np.ones(len(cuts))
-        if epoch >= EPOCHS // 6:
-            best = np.full(len(docs), -np.inf)
-            best[owner[heads]] = np.maximum.reduceat(margin, heads)
-            use[toxic & (margin < best[owner])] = 0
-        each = np.bincount(owner, use, len(docs))
-        error = (p - toxic) * use / each[owner] / len(docs)
-        if epoch >= EPOCHS // 6:  # the worst passage of a clean document counts as much as all its others
-            worst = ~toxic & (margin >= best[owner])
-            error[worst] += p[worst] / len(docs)
-        grad = np.stack([-error, error], axis=1)
-        down = (grad @ softmax) * weight
-        by_word = _sums(down[passage], words, len(names))
-        steps = (_sums(by_word[of_word] * share, of_gram, len(kept)) + DECAY * vectors, grad.T @ bags + DECAY * softmax, grad.sum(axis=0))
-        for parameter, optimiser, gradient in zip((vectors, softmax, bias), optimisers, steps):
-            parameter -= optimiser.step(gradient)
-    logit = vectors @ (softmax[1] - softmax[0])
-    model = Model(dict(zip(kept, logit.tolist())), float(bias[1] - bias[0]), 1.0, 0.0)
-    scorer = Scorer(model)
-    raw = np.array([scorer.raw(t) for t in texts])
-    slope, offset = calibrate(raw, labels)
-    return model._replace(slope=slope, offset=offset)
-
-
-def calibrate(raw: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Logistic regression of the labels on one number, by Newton steps with a slight ridge."""
-    mean, scale = raw.mean(), raw.std() + 1e-9
-    x = np.stack([(raw - mean) / scale, np.ones(len(raw))], axis=1)
-    w = np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = x.T @ (x * (p * (1 - p))[:, None]) + 0.1 * np.eye(2)
-        w -= np.linalg.solve(hessian, x.T @ (p - labels) + 0.1 * w)
-    return float(w[0] / scale), float(w[1] - w[0] * mean / scale)
-
-
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    """Fit on at most ``TRAIN_DOCUMENTS`` documents and ``TRAIN_BYTES`` of text per class, the first by hash of the id.
-
-    ``labels`` has the key and the label (0 or 1; other rows are left out). The sample's ids and sizes come to the
-    driver first, then its texts, so that what the driver holds is bounded whatever the lengths. A document that does
-    not fit what is left of the bytes is passed over, later ones are still taken. Raises if a class has labelled
-    documents and none of those drawn fits: a model without it would give all texts the same score.
-    """
-    # The sample is bounded, so its ids may be broadcast.
-    marked = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), F.col(label).cast("int").alias("y"))
-    order = [F.xxhash64("doc_id"), "doc_id"]
-    picked = None
-    for y in (0, 1):
-        some = marked.where(F.col("y") == y).orderBy(*order).limit(TRAIN_DOCUMENTS)
-        picked = some if picked is None else picked.unionByName(some)
-    rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    sized = rows.select("doc_id", F.octet_length("text").alias("size")).join(F.broadcast(picked), "doc_id").orderBy(*order).collect()
-    spent, chosen = {0: 0, 1: 0}, []
-    for r in sized:  # a document that does not fit is passed over and costs nothing
-        if spent[r.y] + r.size <= TRAIN_BYTES:
-            spent[r.y] += r.size
-            chosen.append((r.doc_id, r.y))
-    lost = {r.y for r in sized} - {y for _, y in chosen}
-    if lost:
-        raise ValueError(f"no training sample for label {sorted(lost)}: each of its documents drawn is above {TRAIN_BYTES} bytes")
-    if not chosen:
-        return fit([], np.zeros(0))
-    frame = docs.sparkSession.createDataFrame(chosen, f"doc_id {labels.schema[key].dataType.simpleString()}, y int")
-    found = rows.join(F.broadcast(frame), "doc_id").orderBy(*order).collect()
-    return fit([r.text for r in found], np.array([r.y for r in found]))
-
-
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Columns: the key and ``score`` (0 to 1, higher: toxic is likelier) of every whole text.
 
