@@ -49,8 +49,9 @@ def plate_model(spark, sf) -> regress.PlateModel:
 
 @query("gbt_train_score")
 def gbt_train_score(spark, sf):
-    """Feature store, boosted trees per target with early stopping, scores on every split."""
-    return regress.evaluate(plate_model(spark, sf), stored(spark, sf))
+    """Feature store, boosted trees per target with patience, scores on every split and the trees kept."""
+    model = plate_model(spark, sf)
+    return regress.evaluate(model, stored(spark, sf)).join(F.broadcast(regress.tree_counts(model)), "target")
 
 
 @query("evaluate_batch")
@@ -66,17 +67,17 @@ def predict_batch(spark, sf):
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    return regress.feature_importance(plate_model(spark, sf), _plate_model_path(spark, sf))
+    return regress.feature_importance(plate_model(spark, sf))
 
 
 @query("top_features")
 def top_features(spark, sf):
-    return regress.top_features(feature_importance(spark, sf), "max_von_mises_pa", 15)
+    return _by_target(lambda target: regress.top_features(feature_importance(spark, sf), target, 15).drop("target"))
 
 
 @query("monotone_check")
 def monotone_check(spark, sf):
-    return regress.monotone_check(plate_model(spark, sf), stored(spark, sf), "max_von_mises_pa")
+    return _by_target(lambda target: regress.monotone_check(plate_model(spark, sf), stored(spark, sf), target))
 
 
 @query("rf_baseline")
@@ -98,7 +99,7 @@ def cv_report(spark, sf):
 
 @query("cv_search")
 def cv_search(spark, sf):
-    return _by_target(lambda target: regress.cv_search(stored(spark, sf), target, TRIALS)).orderBy("target", "rmse")
+    return _by_target(lambda target: regress.cv_search(stored(spark, sf), target, TRIALS)).orderBy("target", F.desc("rung"), "rmse")
 
 
 @query("stream_predict")

@@ -122,15 +122,8 @@ VAL_RATIO = 0.15
 SEED = 42
 # Sign a feature may move a prediction in; features not listed are free.
 MONOTONE_SIGNS = {
-    "traction_pa": 0,
     "young_modulus_pa": -1,
-    "logS": 0,
     "logE": -1,
-    "log_sigma_net": 0,
-    "sigma_net": 0,
-    "log_delta_th": 0,
-    "delta_theory": 0,
-    "epsilon": 0,
     "hole_radius_ratio": 1,
     "d_over_W": 1,
     "Kt_theory": 1,

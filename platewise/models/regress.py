@@ -4,50 +4,56 @@ from __future__ import annotations
 
 import random
 from dataclasses import dataclass, field
+from math import sqrt
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from platewise.constants import CATEGORICAL_COLUMNS, MONOTONE_SIGNS, SEED, TARGETS
+from platewise.constants import CATEGORICAL_COLUMNS, FEATURE_INPUT_COLUMNS, MONOTONE_SIGNS, SEED, TARGETS
 from platewise.functions.hashing import stable_bucket
 from platewise.functions.numeric import linspace
+from platewise.models.trees import Shards, TreeEnsemble, fit_trees, score_jobs, stored_shards
 from platewise.operators.features import engineer_features, feature_columns
-from platewise.operators.metrics import r2, regression_metrics, rmse
+from platewise.operators.metrics import regression_metrics
 from platewise.operators.physics import denormalize, log_targets, normalizer
 from platewise.operators.ranking import encode_ordinal, vocabulary_index
-from platewise.operators.requests import accepted, validate_requests
+from platewise.operators.requests import validate_requests
 from platewise.schema import nan_to_null
 
-# Default search and training parameters, and the ranges they are drawn from.
+# Default training parameters, and the ranges that a search draws from (ends, scale or step).
 DEFAULTS = {
     "n_estimators": 1000,
     "learning_rate": 0.05,
+    "num_leaves": 127,
     "max_depth": 10,
     "min_child_samples": 20,
     "subsample": 0.8,
     "colsample": 0.8,
+    "reg_alpha": 0.1,
+    "reg_lambda": 1.0,
+    "patience": 50,
 }
 SEARCH_SPACE = {
-    "n_estimators": (400, 2000),
-    "learning_rate": (0.01, 0.2),
-    "max_depth": (8, 16),
-    "min_child_samples": (10, 100),
-    "subsample": (0.6, 1.0),
-    "colsample": (0.5, 1.0),
+    "n_estimators": (400, 2000, 100),
+    "learning_rate": (0.01, 0.2, "log"),
+    "num_leaves": (31, 255, 1),
+    "max_depth": (8, 16, 1),
+    "min_child_samples": (10, 100, 1),
+    "subsample": (0.6, 1.0, "even"),
+    "colsample": (0.5, 1.0, "even"),
+    "reg_alpha": (1e-8, 10.0, "log"),
+    "reg_lambda": (1e-8, 10.0, "log"),
 }
-FOREST = {"numTrees": 100, "maxDepth": 15, "minInstancesPerNode": 5, "featureSubsetStrategy": "sqrt"}
+FOREST = {"n_estimators": 100, "max_depth": 15, "min_child_samples": 5, "num_leaves": 1 << 15, "reg_alpha": 0.0, "reg_lambda": 0.0}
+# Trees of a draw in each rung of a search, and the share of draws that goes on to the next.
+RUNGS, GOES_ON = (20, 80), 1 / 4
 
 
 @dataclass
 class PlateModel:
     """One fitted pipeline per target with what is needed to score raw cases."""
 
-    models: dict[str, PipelineModel]
+    models: dict[str, TreeEnsemble]
     features: list[str]
     vocabulary: DataFrame
     version: str = "v0"
@@ -56,7 +62,7 @@ class PlateModel:
     def save(self, path: str) -> str:
         spark = self.vocabulary.sparkSession
         for target, model in self.models.items():
-            model.write().overwrite().save(f"{path}/{target}")
+            model.save(f"{path}/{target}")
         self.vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
         rows = [(self.version, i, c) for i, c in enumerate(self.features)]
         spark.createDataFrame(rows, "version string, position int, feature string").coalesce(1).write.mode(
@@ -67,8 +73,9 @@ class PlateModel:
 
 def load_plate_model(spark: SparkSession, path: str, targets=TARGETS) -> PlateModel:
     rows = spark.read.parquet(f"{path}/features").orderBy("position").collect()
-    models = {t: PipelineModel.load(f"{path}/{t}") for t in targets}
-    return PlateModel(models, [r["feature"] for r in rows], spark.read.parquet(f"{path}/vocabulary"), rows[0]["version"])
+    features = [r["feature"] for r in rows]
+    models = {t: TreeEnsemble(spark.read.parquet(f"{path}/{t}"), features, f"pred_{t}") for t in targets}
+    return PlateModel(models, features, spark.read.parquet(f"{path}/vocabulary"), rows[0]["version"])
 
 
 def model_features(df: DataFrame) -> list[str]:
@@ -88,61 +95,66 @@ def training_frame(store: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
     return encode_ordinal(log_targets(store), vocabulary, CATEGORICAL_COLUMNS), vocabulary, features
 
 
-def boosted(target: str, features: list[str], label: str, **params) -> Pipeline:
-    """Assembler plus boosted trees; parameters carry the usual boosting names."""
-    p = DEFAULTS | params
-    trees = GBTRegressor(
-        featuresCol="_features",
-        labelCol=label,
-        predictionCol=f"pred_{target}",
-        maxIter=p["n_estimators"],
-        stepSize=p["learning_rate"],
-        maxDepth=p["max_depth"],
-        minInstancesPerNode=p["min_child_samples"],
-        subsamplingRate=p["subsample"],
-        featureSubsetStrategy=str(p["colsample"]),
-        maxBins=p.get("max_bins", 64),
-        seed=p.get("seed", SEED),
-        cacheNodeIds=True,
-    )
-    if p.get("validation"):
-        # The default tolerance stops after a tree or two.
-        trees.setParams(validationTol=1e-5).setValidationIndicatorCol(p["validation"])
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="error"), trees])
-
-
-def forest(target: str, features: list[str], label: str, **params) -> Pipeline:
-    p = FOREST | params
-    trees = RandomForestRegressor(
-        featuresCol="_features", labelCol=label, predictionCol=f"pred_{target}", seed=SEED, **p
-    )
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="error"), trees])
+def boosted(shards: Shards, labels: list[str], **params) -> list[DataFrame]:
+    """Boosted trees per label, stopped by the part 1 (no error drop for ``patience`` trees) and cut back to the best."""
+    p = DEFAULTS | {"seed": SEED, "per_node": 1.0} | params
+    jobs = [p | {"job": i, "label": i, "held": 1, "forest": False} for i in range(len(labels))]
+    nodes = fit_trees(shards, jobs)
+    members = nodes.where("tree < 0").groupBy("job").agg(F.count("*").alias("members"))
+    averaged = nodes.join(F.broadcast(members), "job").withColumn("value", F.col("value") / F.col("members")).drop("members")
+    return [averaged.where(F.col("job") == i) for i in range(len(labels))]
+
+
+def forest(shards: Shards, labels: list[str], **params) -> list[DataFrame]:
+    """Trees on rows drawn with replacement, each node choosing among the square root of the features; their mean."""
+    p = FOREST | {"per_node": sqrt(len(shards.features)) / len(shards.features)} | params
+    trees = max(1, round(p["n_estimators"] / shards.number))
+    chunk = 5  # trees of one task
+    parts = [(label, first) for label in range(len(labels)) for first in range(0, trees, chunk)]
+    jobs = [
+        p | {"job": i, "label": label, "held": 1, "forest": True, "n_estimators": min(chunk, trees - first), "seed": SEED + i} for i, (label, first) in enumerate(parts)
+    ]
+    nodes = fit_trees(shards, jobs)
+    out = []
+    for label in range(len(labels)):
+        own = nodes.where(F.col("job").isin([i for i, (x, _) in enumerate(parts) if x == label]))
+        out.append(own.withColumn("value", F.col("value") / float(trees * shards.number)))
+    return out
 
 
 def fit_plate_model(store: DataFrame, build=boosted, targets=TARGETS, version: str = "v0", **params) -> PlateModel:
-    """Fit every target on train, stopping early on val; raises when a feature is null."""
+    """Fit every target on train, stopping early on val; raises when a feature is null.
+
+    Values may only rise or fall along the features of ``MONOTONE_SIGNS``. Rows beyond those that the shards of
+    ``stored_shards`` hold are left out, by hash.
+    """
     frame, vocabulary, features = training_frame(store)
     known = frame.filter(F.col("split").isin("train", "val"))
-    if params.get("check_nulls", True) and feature_nulls(known, features).first()["n_null"]:
+    if params.pop("check_nulls", True) and feature_nulls(known, features).first()["n_null"]:
         raise ValueError("null values in the feature matrix")
-    params.pop("check_nulls", None)
-    early = build is boosted
+    labels = [f"log_{t}" for t in targets]
+    signs = MONOTONE_SIGNS if build is boosted else {}
     models = {}
-    for target in targets:
-        rows = known.filter(F.col(f"log_{target}").isNotNull()).select(
-            *features, f"log_{target}", (F.col("split") == "val").alias("_validate"), "split"
-        )
-        rows = rows if early else rows.filter("split = 'train'")
-        options = params | ({"validation": "_validate"} if early else {})
-        models[target] = build(target, features, f"log_{target}", **options).fit(rows)
-    return PlateModel(models, features, vocabulary, version, dict(params))
+    # A row without one target still teaches the other; targets with the same rows share their shards.
+    for own in _shared_labels(known, labels):
+        shards = stored_shards(known, features, own, (F.col("split") == "val").cast("int"), signs)
+        for label, nodes in zip(own, build(shards, own, **params)):
+            target = label.removeprefix("log_")
+            models[target] = TreeEnsemble(nodes, features, f"pred_{target}")
+    return PlateModel({t: models[t] for t in targets}, features, vocabulary, version, dict(params))
+
+
+def _shared_labels(rows: DataFrame, labels: list[str]) -> list[list[str]]:
+    """The labels together if none is ever null, else each on its own."""
+    nulls = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in labels]).first()
+    return [labels] if not any(nulls) else [[c] for c in labels]
 
 
 def score(plate_model: PlateModel, df: DataFrame) -> DataFrame:
     """Add ``pred_<target>`` (normalised log) and ``predicted_<target>`` (physical) to feature rows."""
     encoded = encode_ordinal(df, plate_model.vocabulary, CATEGORICAL_COLUMNS)
     for target, model in plate_model.models.items():
-        encoded = model.transform(encoded).drop("_features")
+        encoded = model.transform(encoded)
     return encoded.withColumns({f"predicted_{t}": denormalize(F.col(f"pred_{t}"), t) for t in plate_model.models})
 
 
@@ -173,50 +185,50 @@ def evaluate(plate_model: PlateModel, store: DataFrame) -> DataFrame:
 def predict_cases(plate_model: PlateModel, cases: DataFrame) -> DataFrame:
     """One row per case: ``reasons`` (empty when accepted) and predictions, null for a refused case.
 
-    Accepted cases are engineered, encoded, scored and denormalised. Inputs and model version are echoed.
+    Cases are checked, engineered, encoded, scored and denormalised in one pass, as a stream as well. A refused case
+    goes through without values, so that nothing is read twice, and its predictions are left out. Inputs and model
+    version are echoed.
     """
     checked = validate_requests(cases)
-    rows = accepted(checked)
-    if "timestamp" not in rows.columns:
-        rows = rows.withColumn("timestamp", F.current_timestamp())
-    echo = ["simulation_id", "geometry_type", "length_m", "height_m", "young_modulus_pa", "traction_pa", "hole_radius_ratio"]
-    inputs = F.struct(*[F.col(c) for c in echo[1:]]).alias("input")
-    scored = score(plate_model, engineer_features(rows.withColumn("_input", inputs), require_targets=False))
-    version = F.lit(plate_model.version).alias("model_version")
-    answered = scored.select(
+    if "timestamp" not in checked.columns:
+        checked = checked.withColumn("timestamp", F.current_timestamp())
+    echo = ["geometry_type", "length_m", "height_m", "young_modulus_pa", "traction_pa", "hole_radius_ratio"]
+    rows = checked.withColumn("_input", F.struct(*echo)).withColumn("_reasons", F.col("reasons"))
+    refused = F.size("_reasons") > 0
+    used = [c for c in FEATURE_INPUT_COLUMNS if c in rows.columns and c != "simulation_id"]
+    rows = rows.withColumns({c: F.when(~refused, F.col(c)) for c in used})
+    scored = score(plate_model, engineer_features(rows, require_targets=False))
+    return scored.select(
         "simulation_id",
-        version,
-        *[F.col(f"_input.{c}").alias(c) for c in echo[1:]],
-        F.array().cast("array<string>").alias("reasons"),
-        *[F.col(f"predicted_{t}").alias(t) for t in plate_model.models],
+        F.lit(plate_model.version).alias("model_version"),
+        *[F.col(f"_input.{c}").alias(c) for c in echo],
+        F.col("_reasons").alias("reasons"),
+        *[F.when(~refused, F.col(f"predicted_{t}")).alias(t) for t in plate_model.models],
     )
-    nothing = [F.lit(None).cast("double").alias(t) for t in plate_model.models]
-    refused = checked.filter(F.size("reasons") > 0).select("simulation_id", version, *echo[1:], "reasons", *nothing)
-    return answered.unionByName(refused)
 
 
-def feature_importance(plate_model: PlateModel, path: str) -> DataFrame:
-    """``(target, feature, gain, n_splits)``; split counts come from the stored trees at ``path``."""
+def feature_importance(plate_model: PlateModel) -> DataFrame:
+    """``(target, feature, gain, n_splits)`` of every feature, from the tables of nodes."""
     spark = plate_model.vocabulary.sparkSession
+    names = spark.createDataFrame(list(enumerate(plate_model.features)), "position int, feature string")
     out = None
     for target, model in plate_model.models.items():
-        gains = model.stages[-1].featureImportances
-        rows = [(target, i, f, float(gains[i])) for i, f in enumerate(plate_model.features)]
-        table = spark.createDataFrame(rows, "target string, position int, feature string, gain double")
-        nodes = spark.read.parquet(f"{path}/{target}/stages/1_*/data")
-        splits = (
-            nodes.select(F.col("nodeData.split.featureIndex").alias("position"))
-            .filter("position >= 0")
-            .groupBy("position")
-            .agg(F.count("*").alias("n_splits"))
-        )
-        part = table.join(splits, "position", "left").select(
-            "target", "feature", "gain", F.coalesce("n_splits", F.lit(0)).alias("n_splits")
+        part = names.join(model.importance(), "position", "left").select(
+            F.lit(target).alias("target"), "feature", F.coalesce("gain", F.lit(0.0)).alias("gain"), F.coalesce("n_splits", F.lit(0)).alias("n_splits")
         )
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def tree_counts(plate_model: PlateModel) -> DataFrame:
+    """``(target, n_trees, n_members)``: trees kept after cutting back to the best, over all members."""
+    out = None
+    for target, model in plate_model.models.items():
+        part = model.tree_counts().select(F.lit(target).alias("target"), "n_trees", "n_members")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def top_features(importance: DataFrame, target: str, n: int = 15) -> DataFrame:
     return importance.filter(F.col("target") == target).orderBy(F.desc("gain"), "feature").limit(n)
 
@@ -227,77 +239,79 @@ def with_fold(df: DataFrame, folds: int = 5, id_col: str = "simulation_id", seed
     return df.withColumn("fold", F.least(F.floor(bucket * folds), F.lit(folds - 1)).cast("int"))
 
 
-def cv_report(store: DataFrame, target: str, folds: int = 5, **params) -> DataFrame:
-    """Per-fold R2 and RMSE on the train split, and a ``mean`` and ``std`` row (population spread)."""
+def _folded(store: DataFrame, target: str, folds: int) -> Shards:
+    """Shards of the train split whose parts are the folds. Categories are numbered on the whole split, as a code of an
+    unseen category exists either way; no label enters the numbers."""
     frame, _, features = training_frame(store.filter("split = 'train'"))
-    label = f"log_{target}"
-    rows = with_fold(frame).filter(F.col(label).isNotNull()).select("fold", label, *features).persist()
-    parts = None
-    for k in range(folds):
-        # The held-out fold stops the boosting early, as a validation set.
-        fitted = boosted(target, features, label, validation="_validate", **params).fit(
-            rows.withColumn("_validate", F.col("fold") == k)
-        )
-        held_out = fitted.transform(rows.filter(F.col("fold") == k))
-        truth, prediction = F.col(label), F.col(f"pred_{target}")
-        one = held_out.agg(
-            F.lit(str(k)).alias("fold"), r2(truth, prediction).alias("r2"), rmse(truth, prediction).alias("rmse")
-        )
-        parts = one if parts is None else parts.unionByName(one)
-    scores = [tuple(r) for r in parts.collect()]  # one row per fold
-    rows.unpersist()
-    table = store.sparkSession.createDataFrame(scores, "fold string, r2 double, rmse double")
-    summary = table.agg(
-        F.avg("r2").alias("r2_mean"), F.stddev_pop("r2").alias("r2_std"), F.avg("rmse").alias("rmse_mean"), F.stddev_pop("rmse").alias("rmse_std")
-    )
-    mean = summary.select(F.lit("mean").alias("fold"), F.col("r2_mean").alias("r2"), F.col("rmse_mean").alias("rmse"))
-    std = summary.select(F.lit("std").alias("fold"), F.col("r2_std").alias("r2"), F.col("rmse_std").alias("rmse"))
-    return table.unionByName(mean).unionByName(std)
+    return stored_shards(with_fold(frame, folds), features, [f"log_{target}"], F.col("fold"), MONOTONE_SIGNS)
+
+
+def _fold_jobs(draws: list[tuple[int, dict]], folds: int) -> list[dict]:
+    plain = {"seed": SEED, "per_node": 1.0, "label": 0, "forest": False}
+    return [DEFAULTS | plain | p | {"job": trial * folds + k, "held": k} for trial, p in draws for k in range(folds)]
+
+
+def cv_report(store: DataFrame, target: str, folds: int = 5, **params) -> DataFrame:
+    """Per-fold R2, RMSE and trees kept on the train split, and a ``mean`` and ``std`` row (population spread).
+
+    The held-out fold stops the boosting. All folds are fitted side by side.
+    """
+    shards = _folded(store, target, folds)
+    scores = []
+    for r in score_jobs(shards, _fold_jobs([(0, params)], folds)):  # a row per fold
+        spread = r["squares"] - r["sum"] ** 2 / r["n"]
+        scores.append((str(r["job"]), 1 - r["sse"] / spread if spread > 0 else None, sqrt(r["sse"] / r["n"]), r["n_trees"]))
+    table = store.sparkSession.createDataFrame(scores, "fold string, r2 double, rmse double, n_trees double")
+    for name, fn in (("mean", F.avg), ("std", F.stddev_pop)):
+        summary = table.where("fold NOT IN ('mean', 'std')").agg(*[fn(c).alias(c) for c in ("r2", "rmse", "n_trees")])
+        table = table.unionByName(summary.withColumn("fold", F.lit(name)))
+    return table
 
 
 def draw_parameters(n: int, seed: int = SEED, space: dict | None = None) -> list[dict]:
-    """``n`` seeded draws from the search ranges; the learning rate is drawn on a log scale."""
+    """``n`` seeded draws from the search ranges: whole numbers by step, evenly, or evenly on a log scale."""
     rng, out = random.Random(seed), []
     ranges = space or SEARCH_SPACE
     for _ in range(n):
         draw = {}
-        for name, (low, high) in ranges.items():
-            if name == "learning_rate":
+        for name, (low, high, kind) in ranges.items():
+            if kind == "log":
                 draw[name] = low * (high / low) ** rng.random()
-            elif isinstance(low, int):
-                draw[name] = rng.randint(low, high)
-            else:
+            elif kind == "even":
                 draw[name] = rng.uniform(low, high)
+            else:
+                draw[name] = rng.randrange(low, high + 1, kind)
         out.append(draw)
     return out
 
 
 def cv_search(
-    store: DataFrame, target: str, n_trials: int, folds: int = 5, space: dict | None = None, parallelism: int = 4, **fixed
+    store: DataFrame, target: str, n_trials: int, folds: int = 5, space: dict | None = None, rungs: tuple[int, ...] = RUNGS, goes_on: float = GOES_ON, **fixed
 ) -> DataFrame:
-    """Mean cross-validated RMSE of each parameter draw, best first (``trial`` 0-based)."""
-    frame, _, features = training_frame(store.filter("split = 'train'"))
-    label = f"log_{target}"
-    rows = with_fold(frame, folds).filter(F.col(label).isNotNull()).select("fold", label, *features)
-    draws = draw_parameters(n_trials, space=space)
-    pipeline = boosted(target, features, label, **fixed)
-    trees = pipeline.getStages()[-1]
-    names = {
-        "n_estimators": trees.maxIter,
-        "learning_rate": trees.stepSize,
-        "max_depth": trees.maxDepth,
-        "min_child_samples": trees.minInstancesPerNode,
-        "subsample": trees.subsamplingRate,
-        "colsample": trees.featureSubsetStrategy,
-    }
-    grid = [{names[k]: str(v) if k == "colsample" else v for k, v in d.items()} for d in draws]
-    evaluator = RegressionEvaluator(labelCol=label, predictionCol=f"pred_{target}", metricName="rmse")
-    search = CrossValidator(
-        estimator=pipeline, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, foldCol="fold", parallelism=parallelism
-    )
-    scores = search.fit(rows).avgMetrics
-    table = [(i, float(s), str(sorted(d.items()))) for i, (s, d) in enumerate(zip(scores, draws))]
-    return store.sparkSession.createDataFrame(table, "trial int, rmse double, params string").orderBy("rmse")
+    """Cross-validated RMSE of parameter draws, best first: ``trial`` (0-based), ``rung``, ``rmse``, ``n_trees``, ``params``.
+
+    Every fit stops with patience on its held-out fold. Draws start with few trees; only the best share of a rung goes
+    on to the next, and those of the last one have all their trees. A draw's row is that of the last rung it reached.
+    Without ``rungs`` all draws are fitted in full.
+    """
+    shards = _folded(store, target, folds)
+    draws = [(i, d | fixed) for i, d in enumerate(draw_parameters(n_trials, space=space))]
+    rows, alive = {}, draws
+    for rung, most in enumerate([*rungs, None]):
+        capped = [(i, d if most is None else d | {"n_estimators": min(most, (DEFAULTS | d)["n_estimators"])}) for i, d in alive]
+        by_trial: dict[int, list] = {}
+        for r in score_jobs(shards, _fold_jobs(capped, folds)):  # a row per draw and fold
+            by_trial.setdefault(r["job"] // folds, []).append(r)
+        for i, d in alive:
+            own = by_trial.get(i, [])
+            mean = sum(sqrt(r["sse"] / r["n"]) for r in own) / len(own) if own else None
+            rows[i] = (i, rung, mean, sum(r["n_trees"] for r in own) / len(own) if own else None, str(sorted(d.items())))
+        ranked = sorted((x for x in alive if rows[x[0]][2] is not None), key=lambda x: rows[x[0]][2])
+        alive = ranked[: max(1, round(len(alive) * goes_on))] if most is not None else []
+        if not alive:
+            break
+    table = store.sparkSession.createDataFrame(list(rows.values()), "trial int, rung int, rmse double, n_trees double, params string")
+    return table.orderBy(F.desc("rung"), F.col("rmse").asc_nulls_last(), "trial")
 
 
 def monotone_check(plate_model: PlateModel, store: DataFrame, target: str, points: int = 12) -> DataFrame:
