@@ -11,7 +11,7 @@ from platewise.operators.clean import clean
 from platewise.session import new_path
 from platewise.functions.naming import version_string
 from platewise.sources.lake import stream_parquet
-from platewise.streaming import jobs
+from platewise.streaming import jobs, ordered
 
 _STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S') AS window_start"
 _HOUR, _DAY = "time_bucket(INTERVAL 1 HOUR, ts)", "time_bucket(INTERVAL 1 DAY, ts)"
@@ -222,8 +222,13 @@ def stream_rate_by_handler(spark, sf):
     return starts(spark.read.parquet(out).select("window_start", "handler", "n"))
 
 
-@query("stream_latency")
+@query(
+    "stream_latency",
+    f"""WITH {LOG} SELECT {_STAMP.format(_DAY)}, count(*) AS n, quantile_disc(duration_ms, 0.5) AS p50, quantile_disc(duration_ms, 0.95) AS p95,
+    quantile_disc(duration_ms, 0.99) AS p99 FROM log GROUP BY {_DAY} HAVING {_DAY} + INTERVAL 1 DAY <= {_CLOSED}""",
+)
 def stream_latency(spark, sf):
+    """Quantiles are those of a sketch, which are exact values of the log up to 10,000 rows a window."""
     out = new_path(spark, "stream")
     jobs.drain(jobs.stream_windows(log_stream(spark, sf), "1 day", "1 hour"), out, new_path(spark, "state"))
     return starts(spark.read.parquet(out).select("window_start", "n", "p50", "p95", "p99"))
@@ -255,16 +260,73 @@ def stream_ingest(spark, sf):
     return jobs.newest_complete(spark.read.parquet(out)).withColumn("ts", stamp("timestamp")).drop("timestamp")
 
 
-@query("stream_late")
-def stream_late(spark, sf):
-    """Three batches: on time, far ahead, and late. The late rows fall behind the watermark."""
-    lake, out = new_path(spark, "log"), new_path(spark, "stream")
-    rows = log_rows(spark, sf)
-    ahead = rows.withColumn("ts", F.col("ts") + F.expr("INTERVAL 60 DAYS"))
-    windows = lambda: jobs.stream_windows(stream_parquet(spark, lake, rows.schema), "1 hour", "1 hour")
-    state, dropped = new_path(spark, "state"), 0
-    for batch in (rows, ahead, rows):
+def _in_batches(spark, sf, step, size: str, delay: str = "1 hour", batches=None) -> tuple[str, str]:
+    """The log in batches by time (or as given), each drained before the next comes; paths of output and state."""
+    lake, out, state = new_path(spark, "log"), new_path(spark, "stream"), new_path(spark, "state")
+    rows = log_rows(spark, sf).withColumnRenamed("status", "status_code")
+    day = F.dayofmonth("ts")
+    for batch in batches(rows) if batches else [rows.where((day >= a) & (day < a + 8)) for a in range(1, 32, 8)]:
         batch.write.mode("append").parquet(lake)
-        dropped += jobs.dropped_late(jobs.drain(windows(), out, state))
-    counts = spark.read.parquet(out).agg(F.count("*").alias("n_windows"), F.sum("n").alias("n_rows"))
-    return counts.withColumn("n_dropped_groups", F.lit(dropped).cast("long"))
+        ordered.drain_in_order(stream_parquet(spark, lake, rows.schema), out, state, delay, size, step)
+    return out, state
+
+
+# What is final: the log before the newest time less the delay, rounded down to a window.
+_FINAL = "(SELECT time_bucket(INTERVAL 1 {0}, max(ts) - INTERVAL 1 HOUR) FROM log)"
+
+
+@query(
+    "stream_transitions",
+    f"""WITH {LOG}, samples AS (SELECT job, event_id, ts, CASE WHEN status LIKE '5%' THEN 0 ELSE 1 END AS up FROM log WHERE ts < {_FINAL.format('HOUR')}),
+    lagged AS (SELECT *, lag(up) OVER (PARTITION BY job ORDER BY ts, event_id) AS previous FROM samples)
+    SELECT job, event_id, previous, up FROM lagged WHERE up <> previous""",
+)
+def stream_transitions(spark, sf):
+    """The transitions of the batch query among final rows, from four batches."""
+    out, _ = _in_batches(spark, sf, ordered.transitions(), "1 hour")
+    return ordered.output(spark, out).select("job", "event_id", "previous", "up")
+
+
+@query(
+    "stream_uptime",
+    f"""WITH {LOG}, last_sample AS (SELECT job, w, up FROM (SELECT job, {_DAY} AS w, CASE WHEN status LIKE '5%' THEN 0 ELSE 1 END AS up,
+      row_number() OVER (PARTITION BY job, {_DAY} ORDER BY ts DESC, event_id DESC) AS rn FROM log WHERE ts < {_FINAL.format('DAY')}) WHERE rn = 1),
+    spine AS (SELECT job, unnest(generate_series(min(w), {_FINAL.format('DAY')} - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS w FROM last_sample GROUP BY job)
+    SELECT job, {_STAMP.format('s.w')}, CASE WHEN up IS NULL THEN 'no_data' WHEN up < 1 THEN 'down' ELSE 'up' END AS state
+    FROM spine s LEFT JOIN last_sample l USING (job, w)""",
+)
+def stream_uptime(spark, sf):
+    """States of closed windows; jobs that send nothing are reported as time goes on."""
+    out, _ = _in_batches(spark, sf, ordered.uptime("1 day"), "1 day")
+    return starts(ordered.output(spark, out))
+
+
+@query(
+    "stream_latency_alert",
+    f"""WITH {LOG.replace('log AS', 'whole AS', 1)}, log AS (SELECT * FROM whole WHERE ts < {_FINAL.format('DAY').replace('log', 'whole')}), {_histogram_sql(0.99)},
+    breaching AS (SELECT w, epoch(w)::bigint // 86400 - row_number() OVER (ORDER BY w) AS island FROM quantiles WHERE quantile > 230e0),
+    runs AS (SELECT min(w) AS started, count(*) AS n_windows FROM breaching GROUP BY island)
+    SELECT strftime(started, '%Y-%m-%d %H:%M:%S') AS started, n_windows FROM runs WHERE n_windows >= 2""",
+)
+def stream_latency_alert(spark, sf):
+    """Episodes of the batch query over closed windows, held across batches."""
+    out, state = _in_batches(spark, sf, ordered.latency_alert("1 day", "2 days", BOUNDS, 230.0), "1 day")
+    return starts(ordered.latency_episodes(spark, out, state, "1 day", "2 days"), "started")
+
+
+@query(
+    "stream_late",
+    f"""WITH {LOG}, ahead AS (SELECT ts + INTERVAL 60 DAY AS ts FROM log),
+    first_mark AS (SELECT time_bucket(INTERVAL 1 HOUR, max(ts) - INTERVAL 1 HOUR) AS m FROM log),
+    second_mark AS (SELECT time_bucket(INTERVAL 1 HOUR, max(ts) - INTERVAL 1 HOUR) AS m FROM ahead)
+    SELECT handler, (SELECT count(*) FROM log b WHERE b.handler = a.handler AND b.ts < (SELECT m FROM second_mark))
+      + (SELECT count(*) FROM log b WHERE b.handler = a.handler AND b.ts + INTERVAL 60 DAY < (SELECT m FROM first_mark)) AS n_late FROM log a GROUP BY handler""",
+)
+def stream_late(spark, sf):
+    """Three batches: on time, far ahead, and late. The late rows fall behind the watermark; every one is counted."""
+    ahead = lambda rows: rows.withColumn("ts", F.col("ts") + F.expr("INTERVAL 60 DAYS"))
+    _, state = _in_batches(spark, sf, ordered.transitions(), "1 hour", batches=lambda rows: [rows, ahead(rows), rows])
+    schema = log_rows(spark, sf).withColumnRenamed("status", "status_code").schema
+    handlers = log_rows(spark, sf).select("handler").distinct()
+    late = ordered.late_rows(spark, state, schema).groupBy("handler").agg(F.count("*").alias("n_late"))
+    return handlers.join(late, "handler", "left").withColumn("n_late", F.coalesce("n_late", F.lit(0).cast("long")))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from platewise.constants import ERROR_RATE_LIMIT
 from platewise.operators.quantiles import quantile_columns
+from platewise.session import new_path
 
 # Fixed value: a server error is a status that starts with 5.
 SERVER_ERROR = "5%"
@@ -162,26 +163,29 @@ def uptime_last(df: DataFrame, size: str = "1 minute", by: str = "job") -> DataF
     )
 
 
-def state_transitions(df: DataFrame, by: str = "job", bucket: str = "1 day") -> DataFrame:
+def state_transitions(df: DataFrame, by: str = "job") -> DataFrame:
     """Samples whose up/down state differs from the job's sample before.
 
-    A job may hold a third of the log, so its samples are ordered inside time buckets only; the last state
-    of the bucket before is carried over from a table with one row per job and bucket.
+    The log is sorted by job and time into ranges of equal numbers of rows, stored, so that a job with a third of it is
+    cut over many tasks. Inside a range the sample before is the row before; the first row of a range looks at the last
+    one of the ranges before it, from a table with one row per range.
     """
-    step = seconds_of(bucket)
+    spark = df.sparkSession
     state = F.when(F.col("status").like(SERVER_ERROR), 0).otherwise(1)
-    samples = df.select(
-        by, "event_id", "ts", state.alias("up"), F.floor(F.unix_seconds("ts") / step).alias("_b")
-    )
-    ends = samples.groupBy(by, "_b").agg(F.max_by("up", F.struct("ts", "event_id")).alias("_end"))
-    carried = ends.select(
-        by, "_b", F.lag("_end").over(Window.partitionBy(by).orderBy("_b")).alias("_carried")
-    )
-    inside = Window.partitionBy(by, "_b").orderBy("ts", "event_id")
+    order = [F.col(by), F.col("ts"), F.col("event_id")]
+    samples = df.select(by, "event_id", "ts", state.alias("up")).withColumn("_row", F.monotonically_increasing_id())
+    path = new_path(spark, "samples")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    samples.repartitionByRange(parts, *order, "_row").withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.parquet(path)
+    ends = ranged.groupBy("_part").agg(F.max_by(F.struct(by, "up"), F.struct(*order, "_row")).alias("_end"))
+    carried = ends.select("_part", F.lag("_end").over(Window.orderBy("_part")).alias("_carried"))
+    inside = Window.partitionBy("_part").orderBy(*order, "_row")
+    before = F.coalesce(F.lag(F.struct(by, "up")).over(inside).alias("_prev"), F.col("_carried"))
     return (
-        samples.withColumn("_prev", F.lag("up").over(inside))
-        .join(carried, [by, "_b"])
-        .withColumn("previous", F.coalesce("_prev", "_carried"))
+        ranged.join(F.broadcast(carried), "_part")
+        .withColumn("_before", before)
+        .withColumn("previous", F.when(F.col(f"_before.{by}") == F.col(by), F.col("_before.up")))
         .filter(F.col("up") != F.col("previous"))
         .select(by, "event_id", "ts", "previous", "up")
     )

@@ -15,13 +15,8 @@ from platewise.operators.monitor import SERVER_ERROR, seconds_of
 from platewise.schema import nan_to_null
 
 
-# Batch reports that a finished query still has, so that what they count can be added up.
-KEPT_REPORTS = 20_000
-
-
 def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append"):
     """Process everything that is there now, then stop; a later call goes on where this one ended."""
-    stream.sparkSession.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(KEPT_REPORTS))
     query = (
         stream.writeStream.format("parquet")
         .outputMode(mode)
@@ -121,14 +116,3 @@ def stream_held(windows: DataFrame, size: str, hold: str, limit: float) -> DataF
     return judged.groupBy("handler").applyInPandasWithState(
         _hold_state(step, seconds_of(hold)), ALERT_OUTPUT, ALERT_STATE, "append", GroupStateTimeout.NoTimeout
     )
-
-
-def dropped_late(query) -> int:
-    """Rows of state the watermark dropped over all batches of a finished query.
-
-    Raises when the query had more batches than it keeps reports of (``spark.sql.streaming.numRecentProgressUpdates``).
-    """
-    reports = query.recentProgress
-    if reports and reports[-1].batchId - reports[0].batchId + 1 >= KEPT_REPORTS:
-        raise ValueError(f"more than {KEPT_REPORTS} batches in one run: their dropped rows are not all known")
-    return sum(s.numRowsDroppedByWatermark for p in reports for s in p.stateOperators)

@@ -1,5 +1,7 @@
 """Model jobs and streams on the smallest tables."""
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,9 +9,10 @@ import __spark_entry__ as entry
 from platewise.catalog.base import log_rows
 from platewise.catalog.learning import stored, plate_model
 from platewise.models import regress
+from platewise.operators import monitor
 from platewise.operators.features import engineer_features
 from platewise.sources.lake import stream_parquet
-from platewise.streaming import jobs
+from platewise.streaming import jobs, ordered
 
 SF = "/root/testdata/sf0.001"
 
@@ -77,11 +80,72 @@ def test_rows_only_queries(spark, name):
     assert run(spark, name).count() > 0
 
 
-def test_late_rows_are_dropped_and_counted(spark):
-    row = run(spark, "stream_late").first()
-    assert row["n_dropped_groups"] > 0
-    # The first pass closes all but its last windows; the late copy adds nothing.
-    assert row["n_rows"] <= 2 * log_rows(spark, SF).count()
+def _drained(spark, tmp_path, batches, step, size="1 hour", delay="1 hour"):
+    lake, out, state = (str(tmp_path / n) for n in ("lake", "out", "state"))
+    schema = "job string, event_id long, ts timestamp, status_code string, duration_ms double"
+    for batch in batches:
+        rows = [(j, i, pd.Timestamp(t, unit="s").to_pydatetime(), s, d) for j, i, t, s, d in batch]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(lake)
+        source = stream_parquet(spark, lake, spark.read.parquet(lake).schema)
+        ordered.drain_in_order(source, out, state, delay, size, step)
+    return out, state, spark.read.parquet(lake).schema
+
+
+def test_rows_out_of_order_give_the_transitions_of_the_ordered_log(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    times = np.sort(rng.integers(0, 40 * 3600, 400))
+    rows = [(f"j{rng.integers(3)}", i, int(t), "500" if rng.random() < 0.3 else "200", 1.0) for i, t in enumerate(times)]
+    early = sorted(rows, key=lambda r: r[2] + rng.integers(0, 3000))  # shuffled by less than the delay
+    out, state, schema = _drained(spark, tmp_path, [early[:100], early[100:250], early[250:]], ordered.transitions())
+    late = ordered.late_rows(spark, state, schema).count()
+    end = (int(times.max()) - 3600) // 3600 * 3600
+    want, last = [], {}
+    for j, i, t, s, _ in sorted(rows, key=lambda r: (r[2], r[1])):
+        up = 0 if s == "500" else 1
+        if t < end:
+            if last.get(j, up) != up:
+                want.append((j, i, last[j], up))
+            last[j] = up
+    got = sorted(tuple(r) for r in ordered.output(spark, out).select("job", "event_id", "previous", "up").collect())
+    assert late == 0 and got == sorted(want) and len(got) > 50
+
+
+def test_late_rows_are_counted_one_by_one(spark, tmp_path):
+    batches = [[("a", 1, 1000, "200", 1.0), ("a", 2, 9 * 3600, "200", 1.0)], [("b", 3, 2000, "200", 1.0), ("b", 4, 2000, "200", 1.0), ("b", 5, 8 * 3600 - 1, "200", 1.0), ("b", 6, 8 * 3600, "200", 1.0)]]
+    out, state, schema = _drained(spark, tmp_path, batches, ordered.transitions())
+    assert sorted((r.event_id, r.batch) for r in ordered.late_rows(spark, state, schema).collect()) == [(3, 1), (4, 1), (5, 1)]
+
+
+def test_silent_jobs_are_reported_as_time_goes_on(spark, tmp_path):
+    batches = [[("a", 1, 100, "200", 1.0), ("b", 2, 200, "500", 1.0), ("a", 3, 2 * 3600, "200", 1.0)], [("a", 4, 6 * 3600, "200", 1.0)]]
+    out, _, _ = _drained(spark, tmp_path, batches, ordered.uptime("1 hour"))
+    got = {(r.job, r.window_start.hour): r.state for r in ordered.output(spark, out).collect()}
+    assert got == {("a", 0): "up", ("a", 1): "no_data", ("a", 2): "up", ("a", 3): "no_data", ("a", 4): "no_data", ("b", 0): "down"} | {("b", h): "no_data" for h in range(1, 5)}
+
+
+def test_a_latency_breach_is_held_across_batches(spark, tmp_path):
+    slow, fast = 500.0, 1.0
+    hours = [slow, slow, fast, slow, slow, slow, fast, slow]
+    rows = [("a", h, h * 3600, "200", d) for h, d in enumerate(hours)]
+    step = ordered.latency_alert("1 hour", "2 hours", [10.0, 400.0], 300.0)
+    out, state, _ = _drained(spark, tmp_path, [rows[:2], rows[2:5], rows[5:]], step)
+    got = sorted((r.started.hour, r.n_windows) for r in ordered.latency_episodes(spark, out, state, "1 hour", "2 hours").collect())
+    assert got == [(0, 2), (3, 3)]
+
+
+def test_one_hot_job_is_cut_over_many_tasks(spark):
+    rows = [("hot" if i % 2 else f"j{i % 7}", i, i * 60, "500" if (i // 3) % 2 else "200") for i in range(4000)]
+    log = spark.createDataFrame(rows, "job string, event_id long, t long, status string").withColumn("ts", F.timestamp_seconds("t"))
+    found = monitor.state_transitions(log)
+    want, last = [], {}
+    for j, i, _, s in rows:
+        up = 0 if s == "500" else 1
+        if last.get(j, up) != up:
+            want.append((j, i, last[j], up))
+        last[j] = up
+    assert sorted(tuple(r) for r in found.select("job", "event_id", "previous", "up").collect()) == sorted(want)
+    stored_parts = found.sparkSession.read.parquet(found.inputFiles()[0].rsplit("/", 1)[0]).where("job = 'hot'").groupBy("_part").count().collect()
+    assert len(stored_parts) >= 2
 
 
 def test_alert_state_survives_restarts(spark, tmp_path):
