@@ -708,66 +708,70 @@ def _field_sql(size: int) -> str:
       WHEN r <= a THEN 0e0 ELSE sqrt(srr * srr + stt * stt - srr * stt + 3 * trt * trt) END AS vm FROM stress)"""
 
 
-# Every point of every plate takes part; the check compares what each plate's grid adds up to.
-_FIELD_SUMS = "round(sum(vm) / traction_pa, 5) AS total, round(max(vm) / traction_pa, 6) AS peak, round(sum(vm * (i + 1) * (j + 2)) / traction_pa, 3) AS weighted, sum(CASE WHEN vm = 0 THEN 1 ELSE 0 END)::bigint AS n_zero"
+# Every point of every plate takes part; the check compares what each plate's grid adds up to. Sums are divided by
+# their weights, so that six digits are well above the rounding of sums in another order.
+_SIDE = 64
+_WEIGHTS = sum((i + 1) * (j + 2) for i in range(_SIDE) for j in range(_SIDE))
+_PLACES = _SIDE * _SIDE * (_SIDE * _SIDE - 1) // 2
+_FIELD_SUMS = f"""round(avg(vm) / traction_pa, 6) AS mean, round(max(vm) / traction_pa, 6) AS peak,
+  round(sum(vm * (i + 1) * (j + 2)) / traction_pa / {_WEIGHTS}e0, 6) AS weighted, sum(CASE WHEN vm = 0 THEN 1 ELSE 0 END)::bigint AS n_zero"""
 
 
-@query("kirsch_field", f"{FEATURES}, {_field_sql(8)} SELECT simulation_id, traction_pa, {_FIELD_SUMS} FROM field GROUP BY simulation_id, traction_pa, geometry_type")
+@query("kirsch_field", f"{FEATURES}, {_field_sql(_SIDE)} SELECT simulation_id, traction_pa, {_FIELD_SUMS} FROM field GROUP BY simulation_id, traction_pa, geometry_type")
 def kirsch_field(spark, sf):
     # Points of a plate are made in one task, so the partial sums leave one row per plate to shuffle.
-    rows = fields.field_points(features(spark, sf).withColumn("load", F.col("traction_pa")), 8, keep=("simulation_id", "geometry_type", "load"))
+    rows = fields.field_points(features(spark, sf).withColumn("load", F.col("traction_pa")), _SIDE, keep=("simulation_id", "geometry_type", "load"))
     vm = F.col("vm")
     return rows.groupBy("simulation_id", "load", "geometry_type").agg(
-        F.round(F.sum(vm) / F.col("load"), 5).alias("total"),
+        F.round(F.avg(vm) / F.col("load"), 6).alias("mean"),
         F.round(F.max(vm) / F.col("load"), 6).alias("peak"),
-        F.round(F.sum(vm * (F.col("i") + 1) * (F.col("j") + 2)) / F.col("load"), 3).alias("weighted"),
+        F.round(F.sum(vm * (F.col("i") + 1) * (F.col("j") + 2)) / F.col("load") / float(_WEIGHTS), 6).alias("weighted"),
         F.count_if(vm == 0).alias("n_zero"),
-    ).select("simulation_id", F.col("load").alias("traction_pa"), "total", "peak", "weighted", "n_zero")
+    ).select("simulation_id", F.col("load").alias("traction_pa"), "mean", "peak", "weighted", "n_zero")
 
 
-@query("field_global_max", f"{FEATURES}, {_field_sql(16)} SELECT round(greatest(max(vm), 1e-12), 3) AS field_max FROM field")
+@query("field_global_max", f"{FEATURES}, {_field_sql(_SIDE)} SELECT round(greatest(max(vm), 1e-12), 3) AS field_max FROM field")
 def field_global_max(spark, sf):
-    return rounded(fields.field_maximum(features(spark, sf), 16), 3, "field_max")
+    return rounded(fields.field_maximum(features(spark, sf), _SIDE), 3, "field_max")
+
+
+def _mean_value(column: str = "field"):
+    return F.aggregate(column, F.lit(0.0), lambda a, x: a + x) / float(_SIDE * _SIDE)
 
 
 @query(
     "field_minmax",
-    f"""{FEATURES}, {_field_sql(8)}, ends AS (SELECT simulation_id, traction_pa, min(vm) AS lo, greatest(max(vm) - min(vm), 1e-9) AS span, avg(vm) AS mean FROM field
+    f"""{FEATURES}, {_field_sql(_SIDE)}, ends AS (SELECT simulation_id, traction_pa, min(vm) AS lo, greatest(max(vm) - min(vm), 1e-9) AS span, avg(vm) AS mean FROM field
     GROUP BY simulation_id, traction_pa, geometry_type) SELECT simulation_id, round((mean - lo) / span, 6) AS mean_scaled FROM ends""",
 )
 def field_minmax(spark, sf):
-    scaled_fields = fields.scale_each(fields.field_vectors(features(spark, sf), 8))
-    mean = F.aggregate("field", F.lit(0.0), lambda a, x: a + x) / 64.0
-    return scaled_fields.select("simulation_id", F.round(mean, 6).alias("mean_scaled"))
+    scaled_fields = fields.scale_each(fields.field_vectors(features(spark, sf), _SIDE))
+    return scaled_fields.select("simulation_id", F.round(_mean_value(), 6).alias("mean_scaled"))
 
 
 @query(
     "field_normalized",
-    f"""{FEATURES}, {_field_sql(8)}, top AS (SELECT greatest(max(vm), 1e-12) AS m FROM field)
-    SELECT simulation_id, round(avg(least(greatest(vm / m, 0e0), 1e0)), 8) AS mean_pixel FROM field, top GROUP BY simulation_id, traction_pa, geometry_type""",
+    f"""{FEATURES}, {_field_sql(_SIDE)}, top AS (SELECT greatest(max(vm), 1e-12) AS m FROM field)
+    SELECT simulation_id, round(avg(least(greatest(vm / m, 0e0), 1e0)), 6) AS mean_pixel FROM field, top GROUP BY simulation_id, traction_pa, geometry_type""",
 )
 def field_normalized(spark, sf):
     rows = features(spark, sf)
-    top = fields.field_maximum(rows, 8).scalar()
-    out = fields.scale_by_maximum(fields.field_vectors(rows, 8), top)
-    mean = F.aggregate("field", F.lit(0.0), lambda a, x: a + x) / 64.0
-    return out.select("simulation_id", F.round(mean, 8).alias("mean_pixel"))
+    top = fields.field_maximum(rows, _SIDE).scalar()
+    out = fields.scale_by_maximum(fields.field_vectors(rows, _SIDE), top)
+    return out.select("simulation_id", F.round(_mean_value(), 6).alias("mean_pixel"))
 
 
 @query(
     "field_flip",
-    f"""{FEATURES}, {_field_sql(8)}, v AS (SELECT 'original' AS variant, i AS fi, j AS fj, simulation_id, traction_pa, geometry_type, vm FROM field
-      UNION ALL SELECT 'horizontal', i, 7 - j, simulation_id, traction_pa, geometry_type, vm FROM field
-      UNION ALL SELECT 'vertical', 7 - i, j, simulation_id, traction_pa, geometry_type, vm FROM field
-      UNION ALL SELECT 'both', 7 - i, 7 - j, simulation_id, traction_pa, geometry_type, vm FROM field)
-    SELECT simulation_id, variant, round(sum(vm * (fi * 8 + fj)) / traction_pa, 3) AS moment FROM v GROUP BY simulation_id, variant, traction_pa, geometry_type""",
+    f"""{FEATURES}, {_field_sql(_SIDE)}, turns(variant, up, across) AS (VALUES ('original', 0, 0), ('horizontal', 0, 1), ('vertical', 1, 0), ('both', 1, 1)),
+    v AS (SELECT variant, simulation_id, traction_pa, geometry_type, vm, CASE WHEN up = 1 THEN {_SIDE - 1} - i ELSE i END AS fi,
+      CASE WHEN across = 1 THEN {_SIDE - 1} - j ELSE j END AS fj FROM field CROSS JOIN turns)
+    SELECT simulation_id, variant, round(sum(vm * (fi * {_SIDE} + fj)) / traction_pa / {_PLACES}e0, 6) AS moment FROM v GROUP BY simulation_id, variant, traction_pa, geometry_type""",
 )
 def field_flip(spark, sf):
-    turned = fields.flip_variants(fields.field_vectors(features(spark, sf), 8), 8)
-    moment = F.aggregate(
-        F.transform("field", lambda v, k: v * k), F.lit(0.0), lambda a, x: a + x
-    )
-    return turned.select("simulation_id", "variant", F.round(moment / F.col("traction_pa"), 3).alias("moment"))
+    turned = fields.flip_variants(fields.field_vectors(features(spark, sf), _SIDE), _SIDE)
+    moment = F.aggregate(F.transform("field", lambda v, k: v * k), F.lit(0.0), lambda a, x: a + x)
+    return turned.select("simulation_id", "variant", F.round(moment / F.col("traction_pa") / float(_PLACES), 6).alias("moment"))
 
 
 @query("field_store")
