@@ -16,7 +16,9 @@ from platewise.operators import fields
 from platewise.operators.clusters import core_points, dbscan, standard_scale
 from platewise.operators.eda import crosstab
 from platewise.operators.metrics import class_report
+from platewise.operators.runs import run_table
 from platewise.plans.feature_store import build_feature_store
+from platewise.plans.training import train_and_record
 from platewise.session import new_path
 from platewise.sources.lake import stream_parquet
 from platewise.streaming import jobs
@@ -54,6 +56,16 @@ def gbt_train_score(spark, sf):
     return regress.evaluate(model, stored(spark, sf)).join(F.broadcast(regress.tree_counts(model)), "target")
 
 
+@query("training_run")
+def training_run(spark, sf):
+    """The run table's row of a fit, read from the record that the fit has made."""
+    path = new_path(spark, "training")
+    train_and_record(stored(spark, sf), path, "fit-0001", n_estimators=100)
+    row = run_table(spark.read.parquet(f"{path}/runs"))
+    files = spark.read.csv(f"{path}/importance/fit-0001/*", header=True).agg(F.count("*").alias("n_importances"))
+    return row.drop("start_time").withColumn("n_importances", files.scalar())
+
+
 @query("evaluate_batch")
 def evaluate_batch(spark, sf):
     return regress.evaluate(plate_model(spark, sf), stored(spark, sf).filter("split IN ('val', 'test')"))

@@ -805,11 +805,13 @@ def field_flip(spark, sf):
 
 @query("field_store")
 def field_store(spark, sf):
-    path = new_path(spark, "fields")
-    write_field_set(features_with_split(warehouse(spark, sf)), path)
-    return spark.read.parquet(path).groupBy("split", "geometry_type").agg(
-        F.count("*").alias("n"), F.max(F.array_max("field")).alias("peak"), F.min("name").alias("first_name")
+    """Plates, greatest scaled value and first name per split and geometry, and the maximum that is kept with the set."""
+    path = write_field_set(features_with_split(warehouse(spark, sf)), new_path(spark, "fields"))
+    top = spark.read.parquet(f"{path}/maximum").select(F.round("field_max", 3).alias("field_max"))
+    sums = spark.read.parquet(f"{path}/fields").groupBy("split", "geometry_type").agg(
+        F.count("*").alias("n"), F.round(F.max(F.array_max("field")), 9).alias("peak"), F.min("name").alias("first_name")
     )
+    return sums.withColumn("field_max", top.scalar())
 
 
 # --- sweeps ---------------------------------------------------------------------------------------------------

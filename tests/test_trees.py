@@ -125,3 +125,33 @@ def test_cross_validation_reports_folds_and_trees(spark):
     assert set(rows) == {*"01234", "mean", "std"}
     assert rows["mean"].r2 == pytest.approx(np.mean([rows[k].r2 for k in "01234"])) and 0 < rows["mean"].n_trees <= 60
     assert rows["std"].rmse == pytest.approx(np.std([rows[k].rmse for k in "01234"]))
+
+
+def test_a_fit_leaves_a_record_that_the_run_table_reads(spark, tmp_path):
+    from platewise.operators.runs import run_table
+    from platewise.plans.training import row_fingerprint, train_and_record
+
+    store, path = learning.stored(spark, SF), str(tmp_path / "t")
+    model = train_and_record(store, path, "fit-0001-long-name", n_estimators=30)
+    row = run_table(spark.read.parquet(f"{path}/runs")).first()
+    scores = {(r.target, r.split): r for r in regress.evaluate(model, store).collect()}
+    assert row.run_id == "fit-0001" and row.status == "FINISHED"
+    assert row.r2_displacement == pytest.approx(scores["max_displacement_m", "test"].r2_orig)
+    assert row.rmse_displacement == pytest.approx(scores["max_displacement_m", "test"].rmse_orig)
+    raw = spark.read.parquet(f"{path}/runs").first()
+    metrics, params = ({m.key: m.value for m in pairs} for pairs in (raw.metrics, raw.params))
+    assert metrics["n_train"] == store.where("split = 'train'").count() and params["n_estimators"] == "30" and params["num_leaves"] == "127"
+    assert params["dataset_fingerprint"] == row_fingerprint(store.repartition(9)).first().fingerprint
+    for target in model.models:
+        lines = spark.read.csv(f"{path}/importance/fit-0001-long-name/feature_importance_gain_{target}", header=True).collect()
+        values = [float(r.importance) for r in lines]
+        assert len(lines) == len(model.features) and values == sorted(values, reverse=True) and sum(values) == pytest.approx(1)
+
+
+def test_fingerprints_of_rows_count_repeats_and_not_order(spark):
+    from platewise.plans.training import row_fingerprint
+
+    rows = [(1, "a", None), (2, "b", 1.5), (2, "b", 1.5)]
+    make = lambda r: row_fingerprint(spark.createDataFrame(r, "i int, s string, d double")).first()
+    assert make(rows) == make(rows[::-1]) and make(rows) != make(rows[:2]) and make(rows) != make([(1, "a", 0.0), *rows[1:]])
+    assert make([]).n_rows == 0
