@@ -11,17 +11,13 @@ from platewise.constants import METRIC_NAMES
 from platewise.functions.naming import metric_name
 from platewise.models.regress import DEFAULTS, PlateModel, evaluate, feature_importance, fit_plate_model, load_plate_model, tree_counts
 from platewise.operators.runs import RUN_SCHEMA, append_run
+from platewise.sources.files import dataset_fingerprint
 
 
 def row_fingerprint(df: DataFrame) -> DataFrame:
-    """One row: ``fingerprint`` and ``n_rows``; the same for any order of rows, different for other rows or repeats.
-
-    Digests of rows are added up in partial sums, in four parts of 32 bits, so no task holds a list of them.
-    """
+    """One row: ``fingerprint`` and ``n_rows`` of a table, from the digests of its rows; the order of rows has no part in it."""
     digest = F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256)
-    part = lambda i: F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("long")
-    sums = df.agg(*[F.coalesce(F.sum(part(i).cast("decimal(38,0)")), F.lit(0)).alias(f"s{i}") for i in range(4)], F.count(F.lit(1)).alias("n_rows"))
-    return sums.select(F.sha2(F.concat_ws("|", *[F.col(f"s{i}").cast("string") for i in range(4)], F.col("n_rows").cast("string")), 256).alias("fingerprint"), "n_rows")
+    return dataset_fingerprint(df.select(digest.alias("sha256"))).withColumnRenamed("n_files", "n_rows")
 
 
 def write_importances(model: PlateModel, path: str) -> None:

@@ -9,9 +9,19 @@ from platewise.constants import CHUNK_ROWS, METRIC_NAMES
 from platewise.functions.naming import date_partition
 
 
-def write_warehouse(df: DataFrame, path: str) -> str:
-    """Replace the warehouse table."""
-    df.write.mode("overwrite").parquet(path)
+def write_warehouse(df: DataFrame, path: str, lookup: str = "simulation_id") -> str:
+    """Replace the warehouse table. Row groups carry a bloom filter of the ``lookup`` column, sized by its values.
+
+    Hashed ids are spread evenly, so their least and greatest value tell nothing about a row group; the filter does.
+    """
+    writer = df.write.mode("overwrite")
+    if lookup in df.columns:
+        writer = (
+            writer.option(f"parquet.bloom.filter.enabled#{lookup}", "true")
+            .option("parquet.bloom.filter.adaptive.enabled", "true")
+            .option(f"parquet.enable.dictionary#{lookup}", "false")
+        )
+    writer.parquet(path)
     return path
 
 

@@ -38,18 +38,12 @@ def file_checksums(spark: SparkSession, path: str, glob: str = "*") -> DataFrame
     )
 
 
-def dataset_fingerprint(checksums: DataFrame, digest: str = "sha256", prefix_digits: int = 2) -> DataFrame:
-    """One digest over a set of files: the same for any order of files, different for any other content.
+def dataset_fingerprint(checksums: DataFrame, digest: str = "sha256") -> DataFrame:
+    """One digest over a set of hexadecimal digests: the same for any order, different for other content or repeats.
 
-    Digests are combined in two steps (per prefix, then over the prefixes), so no task holds more than
-    a 1/256th of the file list, and duplicates count.
+    Digests are added up in parts of 32 bits: partial sums of fixed size, however many files there are.
     """
-    prefix = F.substring(digest, 1, prefix_digits)
-    parts = checksums.groupBy(prefix.alias("prefix")).agg(
-        F.sha2(F.concat_ws("|", F.sort_array(F.collect_list(digest))), 256).alias("part"), F.count("*").alias("n")
-    )
-    whole = F.sort_array(F.collect_list(F.struct("prefix", "part")))
-    return parts.agg(
-        F.sha2(F.concat_ws("|", F.transform(whole, lambda s: s["part"])), 256).alias("fingerprint"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_files"),
-    )
+    parts = [F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("decimal(38,0)") for i in range(8)]
+    sums = checksums.agg(*[F.coalesce(F.sum(p), F.lit(0)).cast("string").alias(f"s{i}") for i, p in enumerate(parts)], F.count(digest).alias("n_files"))
+    whole = F.concat_ws("|", *[f"s{i}" for i in range(8)], F.col("n_files").cast("string"))
+    return sums.select(F.sha2(whole, 256).alias("fingerprint"), "n_files")

@@ -12,7 +12,7 @@ from platewise.operators.runs import latest_version
 from platewise.operators.split import assert_split, check_ratios, split_hash, split_random, split_table
 from platewise.plans.etl import run_etl, validate_folder
 from platewise.session import object_store_conf
-from platewise.sinks.tables import write_dated_chunks, write_metrics
+from platewise.sinks.tables import write_dated_chunks, write_metrics, write_warehouse
 from platewise.sources.files import dataset_fingerprint, file_checksums
 from platewise.sources.lake import scan_metrics, scan_prefer_parquet, scan_raw, scan_table, union_sources
 
@@ -196,6 +196,23 @@ def test_checksums(spark, tmp_path):
     assert dataset_fingerprint(now.filter("false")).first()["n_files"] == 0
 
 
+def test_a_lookup_of_an_id_skips_row_groups(spark, tmp_path):
+    rows = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("simulation_id"), "id")
+    path = write_warehouse(rows.repartition(4), str(tmp_path / "w"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # so that the plan that ran can be read
+    try:
+        scanned = []
+        for value in ("7", "absent"):
+            found = spark.read.parquet(path).where(F.col("simulation_id") == F.sha2(F.lit(value), 256))
+            n = len(found.collect())
+            leaves = found._jdf.queryExecution().executedPlan().collectLeaves()
+            scanned.append((n, leaves.head().metrics().apply("numOutputRows").value()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    (one, read_one), (none, read_none) = scanned
+    assert (one, none) == (1, 0) and read_none == 0 and 0 < read_one <= 10_000  # groups that cannot hold the id are not read
+
+
 def test_split_rules(spark):
     for bad in ((0.0, 0.1), (1.0, 0.0), (0.8, 0.2), (0.5, -0.1)):
         with pytest.raises(ValueError):
