@@ -793,9 +793,9 @@ def field_normalized(spark, sf):
 @query(
     "field_flip",
     f"""{FEATURES}, {_field_sql(_SIDE)}, turns(variant, up, across) AS (VALUES ('original', 0, 0), ('horizontal', 0, 1), ('vertical', 1, 0), ('both', 1, 1)),
-    v AS (SELECT variant, simulation_id, traction_pa, geometry_type, vm, CASE WHEN up = 1 THEN {_SIDE - 1} - i ELSE i END AS fi,
-      CASE WHEN across = 1 THEN {_SIDE - 1} - j ELSE j END AS fj FROM field CROSS JOIN turns)
-    SELECT simulation_id, variant, round(sum(vm * (fi * {_SIDE} + fj)) / traction_pa / {_PLACES}e0, 6) AS moment FROM v GROUP BY simulation_id, variant, traction_pa, geometry_type""",
+    sums AS (SELECT simulation_id, traction_pa, sum(vm) AS s, sum(vm * i) AS si, sum(vm * j) AS sj FROM field GROUP BY simulation_id, traction_pa, geometry_type)
+    SELECT simulation_id, variant, round((CASE WHEN up = 1 THEN {_SIDE - 1} * s - si ELSE si END * {_SIDE}
+      + CASE WHEN across = 1 THEN {_SIDE - 1} * s - sj ELSE sj END) / traction_pa / {_PLACES}e0, 6) AS moment FROM sums CROSS JOIN turns""",
 )
 def field_flip(spark, sf):
     turned = fields.flip_variants(fields.field_vectors(features(spark, sf), _SIDE), _SIDE)
