@@ -45,8 +45,9 @@ SEARCH_SPACE = {
     "reg_lambda": (1e-8, 10.0, "log"),
 }
 FOREST = {"n_estimators": 100, "max_depth": 15, "min_child_samples": 5, "num_leaves": 1 << 15, "reg_alpha": 0.0, "reg_lambda": 0.0}
-# Trees of a draw in each rung of a search, and the share of draws that goes on to the next.
-RUNGS, GOES_ON = (20, 80), 1 / 4
+# Trees of a draw in each rung of a search, the share of draws that goes on to the next, and the learning rate of these
+# rungs: with its own, a draw that learns slowly would be dropped for having few trees.
+RUNGS, GOES_ON, RUNG_RATE = (10, 50), 1 / 5, 0.3
 
 
 @dataclass
@@ -290,15 +291,15 @@ def cv_search(
 ) -> DataFrame:
     """Cross-validated RMSE of parameter draws, best first: ``trial`` (0-based), ``rung``, ``rmse``, ``n_trees``, ``params``.
 
-    Every fit stops with patience on its held-out fold. Draws start with few trees; only the best share of a rung goes
-    on to the next, and those of the last one have all their trees. A draw's row is that of the last rung it reached.
-    Without ``rungs`` all draws are fitted in full.
+    Every fit stops with patience on its held-out fold. Draws start with few trees at a common high rate; only the best
+    share of a rung goes on to the next, and those of the last one have all their trees and their own rate. A draw's row
+    is that of the last rung it reached. Without ``rungs`` all draws are fitted in full.
     """
     shards = _folded(store, target, folds)
     draws = [(i, d | fixed) for i, d in enumerate(draw_parameters(n_trials, space=space))]
     rows, alive = {}, draws
     for rung, most in enumerate([*rungs, None]):
-        capped = [(i, d if most is None else d | {"n_estimators": min(most, (DEFAULTS | d)["n_estimators"])}) for i, d in alive]
+        capped = [(i, d if most is None else d | {"n_estimators": min(most, (DEFAULTS | d)["n_estimators"]), "learning_rate": RUNG_RATE}) for i, d in alive]
         by_trial: dict[int, list] = {}
         for r in score_jobs(shards, _fold_jobs(capped, folds)):  # a row per draw and fold
             by_trial.setdefault(r["job"] // folds, []).append(r)
