@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 # Pieces a worker remembers, and the longest of them.
-_CACHE_ENTRIES, _CACHE_LENGTH = 600_000, 60
+_CACHE_ENTRIES, _CACHE_LENGTH = 1_000_000, 60
 _LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _SLICE = 1 << 16
 # Characters whose new pieces are learned at once.
@@ -60,7 +60,7 @@ class TextEncoder:
     that have ids of their own. A text with other white space is encoded as it is.
     """
 
-    _pieces = staticmethod(re.compile(rf"[ \n]*[{_LETTER}]+(?=[.,;:!?])|[ \n]*[^ \n]+|[ \n]+").findall)
+    _pieces = staticmethod(re.compile(rf"[ \n]*+(?:[{_LETTER}]++(?=[.,;:!?])|[^ \n]++)|[ \n]++").findall)
     _other_space = staticmethod(re.compile(r"[^\S \n]").search)
     _cut = re.compile(r"(?<=\S)(?=[ \n])")
 
@@ -83,15 +83,14 @@ class TextEncoder:
         joined = [p for p in missing if p[0] in " \n" and not p[-1].isspace()]
         for a in range(0, len(joined), 4096):
             part = joined[a : a + 4096]
-            ids = self._ids("".join(part))
+            whole = "".join(part)
+            ids = self._ids(whole)
             ends = np.cumsum(self.sizes[ids])
-            marks = np.cumsum([len(p.encode()) for p in part])
+            marks = np.cumsum(list(map(len, part if whole.isascii() else map(str.encode, part))))
             stops = np.searchsorted(ends, marks) + 1
             assert ends[-1] == marks[-1] and (ends[stops - 1] == marks).all()
-            begin = 0
-            for p, stop in zip(part, stops.tolist()):
-                self.cache[p] = ids[begin:stop].tobytes()
-                begin = stop
+            data, places = ids.tobytes(), [0, *(4 * stops).tolist()]
+            self.cache.update(zip(part, map(data.__getitem__, map(slice, places, places[1:]))))
         for p in missing:
             if p not in self.cache:
                 self.cache[p] = self._ids(p).tobytes()
