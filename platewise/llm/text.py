@@ -8,7 +8,8 @@ import numpy as np
 
 _SLICE = 1 << 20
 _rng = np.random.default_rng(20240607)
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLACES = 64
+_TERMS = _rng.integers(0, 2**64 - 1, _PLACES * 256, dtype=np.uint64)  # a random number per place and byte
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -47,7 +48,11 @@ def _slice_words(texts: list[bytes], lower: bool) -> tuple[np.ndarray, np.ndarra
     lengths = np.diff(np.append(heads, len(inside)))
     place = np.arange(len(inside)) - np.repeat(heads, lengths)
     # Every byte at its place is a random number of its own: sums of these have no structure that words could share.
-    return mix(np.add.reduceat(mix(_BYTE[buf[inside]] + place.astype(np.uint64) * _BASE), heads)), counts
+    terms = _TERMS[(np.minimum(place, _PLACES - 1) << 8) | buf[inside]]
+    far = np.flatnonzero(place >= _PLACES - 1)
+    if len(far):
+        terms[far] = mix(terms[far] + place[far].astype(np.uint64) * _BASE)
+    return mix(np.add.reduceat(terms, heads)), counts
 
 
 def words_of(texts: list[bytes], lower: bool = False) -> Words:
