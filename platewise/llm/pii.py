@@ -329,6 +329,12 @@ def span_list(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"], s["end"])), ",")
 
 
+def count_of(spans: Column, kind: str) -> Column:
+    """Number of spans of one kind."""
+    number = KINDS.index(kind)  # not an argument of the lambda: a second one is given the place in the array
+    return F.size(F.filter(spans, lambda s: s["kind"] == number)).cast("long")
+
+
 def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Columns: the key, ``base`` and ``spans`` (arrays of start, kind, end): base spans, and base and added ones.
 

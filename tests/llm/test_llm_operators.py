@@ -488,6 +488,25 @@ def test_base_spans_equal_the_patterns(spark):
     assert all({tuple(s) for s in r.base} <= {tuple(s) for s in r.spans} for r in got)
 
 
+def test_personal_data_query_counts_every_kind(spark, tmp_path):
+    """The registered query's columns: kinds in any order and number, also without each other."""
+    from platewise.llm.queries import op9_pii
+
+    more = [(20, "1.2.3.4 and 5.6.7.8"), (21, "a@b.c d@e.f g@h.i"), (22, "+49 30 1234567 then a@b.c"), (23, "4111 1111 1111 1111"), (24, "a@b.c 1.2.3.4 4111111111111111 +49 30 1234567")]
+    rows = PII + more
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = op9_pii(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
+    assert [t for _, t in got.dtypes[1:5]] == ["bigint"] * 4
+
+    def expected(i, text):
+        spans = brute_spans(text)
+        listed = ",".join(f"{list(BASE)[k]}:{start}:{end}" for start, k, end in spans)
+        return (i, *[sum(k == kind for _, k, _ in spans) for kind in range(len(BASE))], hashlib.sha256(listed.encode()).hexdigest())
+
+    assert sort([tuple(r)[:6] for r in got.collect()]) == sort([expected(i, t) for i, t in rows])
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(i, t, 1) for i, t in PII], "doc_id long, text string, kind int")
     texts = {(r.doc_id, r.text) for r in pii.redact(df).collect()}
