@@ -155,3 +155,24 @@ def test_fingerprints_of_rows_count_repeats_and_not_order(spark):
     make = lambda r: row_fingerprint(spark.createDataFrame(r, "i int, s string, d double")).first()
     assert make(rows) == make(rows[::-1]) and make(rows) != make(rows[:2]) and make(rows) != make([(1, "a", 0.0), *rows[1:]])
     assert make([]).n_rows == 0
+
+
+def test_counting_one_sibling_gives_the_trees_of_counting_both(monkeypatch):
+    rng = np.random.default_rng(3)
+    bins = rng.integers(0, 60, (6, 3000)).astype(np.uint8)
+    bins[5] = bins[0]  # ties go to the first feature
+    y = np.sin(bins[0] / 9.0) + (bins[1] > 20) * bins[2] / 60.0 + 0.05 * rng.normal(size=3000)
+    train = rng.random(3000) < 0.8
+    p = regress.DEFAULTS | {"n_estimators": 15, "seed": 1, "per_node": 1.0}
+    signs = np.array([0, 1, 0, 0, -1, 0])
+    counted = []
+    plain = trees._histograms
+    monkeypatch.setattr(trees, "_histograms", lambda b, *a: counted.append(b.size) or plain(b, *a))
+    one = trees.boost(bins, y, train, ~train, p, signs)
+    first = sum(counted)
+    monkeypatch.setattr(trees, "_KEPT_CELLS", 0)
+    both = trees.boost(bins, y, train, ~train, p, signs)
+    assert 2 * first < sum(counted) - first
+    for a, b in zip(one.trees, both.trees, strict=True):
+        assert all(np.array_equal(x, z) for x, z in zip(a[:4], b[:4]))
+        assert np.allclose(a.value, b.value, rtol=0, atol=1e-12)
