@@ -176,3 +176,28 @@ def test_counting_one_sibling_gives_the_trees_of_counting_both(monkeypatch):
     for a, b in zip(one.trees, both.trees, strict=True):
         assert all(np.array_equal(x, z) for x, z in zip(a[:4], b[:4]))
         assert np.allclose(a.value, b.value, rtol=0, atol=1e-12)
+
+
+def test_packed_trees_predict_what_a_walk_finds(spark):
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, 40, (4, 2000)).astype(np.uint8)
+    y = np.sin(bins[0] / 7.0) + (bins[1] > 20) * bins[2] / 40.0
+    part = rng.random(2000) < 0.2
+    kinds = [{"num_leaves": 60}, {"num_leaves": 1}, {"num_leaves": 400, "min_child_samples": 1, "max_depth": 14}]
+    rows, want = [], 0.5
+    x = rng.integers(-2, 42, (777, 4)) + rng.choice([0.0, 0.5], (777, 4))
+    x[0], x[1, 2], x[2] = np.nan, np.nan, np.inf
+    for shard, kind in enumerate(kinds):
+        fitted = trees.boost(bins, y, ~part, part, regress.DEFAULTS | {"n_estimators": 4, "seed": shard, "per_node": 1.0} | kind, np.zeros(4))
+        for t, tree in enumerate(fitted.trees if shard != 1 else [trees.Tree(*[np.array(c) for c in zip((-1, 0, -1, -1, 0.25, 0.0))])]):
+            cut = np.where(tree.cut == 39, np.inf, tree.cut).astype(float)
+            rows += [(7, shard, t, i, *[c.item() for c in r]) for i, r in enumerate(zip(tree.feature, cut, tree.down, tree.up, tree.value, tree.gain))]
+            down, up = (np.where(tree.feature < 0, np.arange(len(cut)), side) for side in (tree.down, tree.up))
+            want = want + trees._predicted(x, 0.0, np.array([0]), tree.feature, cut, down, up, tree.value)
+    nodes = spark.createDataFrame(rows[::-1] + [(7, 9, -1, 0, -1, 0.0, -1, -1, 0.5, 0.0)], trees._NODE).repartition(5)
+    members = trees.TreeEnsemble(nodes, list("abcd"), "p")._members()
+    sizes = [len(v) for *_, v in members.trees()]
+    assert min(sizes) == 1 and max(sizes) > trees._MOST_LEAVES and any(1 < s <= 60 for s in sizes)
+    assert np.allclose(trees._scores(x, members), want, rtol=0, atol=1e-12)
+    assert trees._scores(x[:0], members).shape == (0,)
+    assert (trees._scores(x, trees.TreeEnsemble(nodes.where("tree < 0"), list("abcd"), "p")._members()) == 0.5).all()
