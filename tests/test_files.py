@@ -39,3 +39,12 @@ def test_large_files_are_hashed_in_parts(spark, tmp_path, monkeypatch, part):
     finally:
         for k, v in kept.items():
             spark.conf.set(k, v)
+
+
+def test_the_store_is_built_without_a_stored_copy_of_its_source(spark, monkeypatch):
+    from platewise.catalog import learning
+
+    seen = []
+    monkeypatch.setattr(learning, "build_feature_store", lambda spark, source, path: seen.append(source.inputFiles()))
+    learning._store_path.__wrapped__(spark, "/root/testdata/sf0.001")
+    assert [f.rsplit("/", 2)[-2:] for f in seen[0]] == [["sf0.001", "lineitem.parquet"]]
